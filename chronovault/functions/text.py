@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,10 +14,22 @@ ISO_INSTANT = (
 )
 
 
-def literal_map(pairs: dict[str, object]) -> Column:
-    """A constant map column; Catalyst folds it, so a small lookup needs no join."""
-    values = (v if isinstance(v, Column) else F.lit(v) for v in pairs.values())
-    return F.create_map(*chain.from_iterable(zip(map(F.lit, pairs), values)))
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs: dict[str, str] | dict[str, tuple[str, ...]], fields: tuple[str, ...] = ()) -> Column:
+    """A constant map column, of text or of structs with the given fields.
+
+    Catalyst folds it to one literal, so a small lookup needs no join.
+    """
+
+    def value(v: str | tuple[str, ...]) -> str:
+        if not fields:
+            return _quoted(v)
+        return "named_struct(" + ", ".join(f"'{f}', {_quoted(x)}" for f, x in zip(fields, v)) + ")"
+
+    return F.expr("map(" + ", ".join(f"{_quoted(k)}, {value(v)}" for k, v in pairs.items()) + ")")
 
 
 def strip(c: Column) -> Column:
@@ -73,26 +83,13 @@ def asset_class(sym: Column) -> Column:
 
 def provider(cls: Column) -> Column:
     """The provider settings of an asset class, as a struct."""
-    fields = ["dataset_root", "source_identifier", "display_name", "description", "asset_type"]
-    return F.try_element_at(
-        literal_map({
-            name: F.struct(*(F.lit(v).alias(f) for f, v in zip(fields, values)))
-            for name, values in fixed.PROVIDERS.items()
-        }),
-        cls,
-    )
+    fields = ("dataset_root", "source_identifier", "display_name", "description", "asset_type")
+    return F.try_element_at(literal_map(fixed.PROVIDERS, fields), cls)
 
 
 def asset_metadata(sym: Column, cls: Column) -> Column:
     """Type, description, region and instrument class, with defaults for unknown symbols."""
-    fields = ["description", "region", "instrument_class"]
-    known = F.try_element_at(
-        literal_map({
-            name: F.struct(*(F.lit(v).alias(f) for f, v in zip(fields, values)))
-            for name, values in fixed.INSTRUMENTS.items()
-        }),
-        symbol(sym),
-    )
+    known = F.try_element_at(literal_map(fixed.INSTRUMENTS, ("description", "region", "instrument_class")), symbol(sym))
     return F.struct(
         provider(cls)["asset_type"].alias("asset_type"),
         F.coalesce(known["description"], F.concat(symbol(sym), F.lit(" financial instrument."))).alias("description"),

@@ -118,9 +118,9 @@ def find_latest(facts: DataFrame, asset_id: str | None = None, source_id: str |
 
 
 def find_all(facts: DataFrame, asset_id: str | None = None, source_id: str | None = None) -> DataFrame:
-    """Every version of each (asset, source), newest first."""
+    """Every version of one (asset, source), newest first; of all of them, unsorted, without ids."""
     rows = where_equal(facts, asset_id=asset_id, data_source_id=source_id)
-    return rows.orderBy("asset_id", "data_source_id", *newest())
+    return rows if asset_id is None and source_id is None else rows.orderBy("asset_id", "data_source_id", *newest())
 
 
 def asset_lineage(facts: DataFrame, asset_id=None, source_id=None, limit: int = LINEAGE_LIMIT) -> DataFrame:
@@ -134,11 +134,11 @@ def source_lineage(facts: DataFrame, source_id=None, limit: int = LINEAGE_LIMIT)
 
 
 def series_between(facts: DataFrame, assets: DataFrame, start: str, end: str, asset_id: str | None = None) -> DataFrame:
-    """Versions of known assets in a date range, newest version first; reversed bounds are swapped."""
+    """Versions of known assets in a date range; reversed bounds are swapped. One asset comes newest version first."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     inside = F.col("business_date").between(F.least(first, last), F.greatest(first, last))
     rows = where_in(where_equal(facts, asset_id=asset_id).where(inside), "asset_id", assets)
-    return rows.orderBy("asset_id", *newest())
+    return rows if asset_id is None else rows.orderBy(*newest())
 
 
 def latest_year(totals: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Catalog and composite read queries.
 
 A query about one asset, source or vendor takes its id; left out, it answers for all of
-them in one job. Answers that the reference returns as nested documents come as nested
-columns only where the nested part is small; histories stay rows.
+them in one job, without a global sort. Histories and lists of sources are rows, never one
+nested value.
 """
 
 from __future__ import annotations
@@ -15,10 +15,15 @@ from ..functions.text import number_text, symbol
 from ..operators.dimensions import union_attributes
 from ..operators.filters import page, present, where_equal, where_in
 from ..operators.versions import (
-    common_indicators, latest_by_asset, latest_day, latest_year, newest, tool_series, top_versions, with_vendor,
+    common_indicators, latest_by_asset, latest_day, latest_year, newest, tool_series, top_versions,
 )
 
 
+def _sorted_for(rows: DataFrame, wanted: str | None, *order) -> DataFrame:
+    """In order for one wanted id; unsorted for all ids, where order would cost a shuffle of everything."""
+    return rows if wanted is None else rows.orderBy(*order)
+
+
 def list_assets(assets: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
     return assets.orderBy("asset_id") if limit is None else page(assets, "asset_id", limit=limit, offset=offset)
 
@@ -51,13 +56,13 @@ def asset_history(assets: DataFrame, facts: DataFrame, asset_id: str | None = No
     """Every version of the asset, newest first, with the asset's columns; none when it is unknown."""
     rows = where_equal(facts, asset_id=asset_id)
     described = assets.select("asset_id", "asset_type", F.col("description").alias("asset_description"), "instrument_class")
-    return rows.join(described, "asset_id").orderBy("asset_id", *newest())
+    return _sorted_for(rows.join(described, "asset_id"), asset_id, *newest())
 
 
 def linked_sources(sources: DataFrame, facts: DataFrame, asset_id: str | None = None) -> DataFrame:
     """The sources each asset has rows from."""
     links = where_equal(facts, asset_id=asset_id).select("asset_id", "data_source_id").distinct()
-    return links.join(sources, "data_source_id").orderBy("asset_id", "data_source_id")
+    return _sorted_for(links.join(sources, "data_source_id"), asset_id, "data_source_id")
 
 
 def asset_details(facts: DataFrame, asset_id: str | None = None, start=None, end=None, limit: int | None = fixed.SERIES_LIMIT) -> DataFrame:
@@ -82,7 +87,8 @@ def vendor_details(sources: DataFrame, vendor_id: str | None = None) -> DataFram
     first = top_versions(rows, ["vendor_id"], [F.asc("data_source_id")]).select(
         "vendor_id", "vendor_name", "vendor_description"
     )
-    return rows.drop("vendor_name", "vendor_description").join(first, "vendor_id").orderBy("vendor_id", "data_source_id")
+    described = rows.drop("vendor_name", "vendor_description").join(first, "vendor_id")
+    return _sorted_for(described, vendor_id, "data_source_id")
 
 
 def vendor_assets(sources: DataFrame, facts: DataFrame, assets: DataFrame, vendor_id: str | None = None) -> DataFrame:
@@ -93,7 +99,7 @@ def vendor_assets(sources: DataFrame, facts: DataFrame, assets: DataFrame, vendo
     owned = present(where_equal(sources, vendor_id=vendor_id), "vendor_id").select("data_source_id", "vendor_id")
     held = facts.select("data_source_id", "asset_id").distinct()
     pairs = held.join(owned, "data_source_id").select("vendor_id", "asset_id").distinct()
-    return pairs.join(assets, "asset_id").orderBy("vendor_id", "asset_id")
+    return _sorted_for(pairs.join(assets, "asset_id"), vendor_id, "asset_id")
 
 
 def series_schema(facts: DataFrame, sources: DataFrame, asset_id=None, source_id=None) -> DataFrame:
@@ -106,8 +112,14 @@ def series_schema(facts: DataFrame, sources: DataFrame, asset_id=None, source_id
         F.col("business_date").alias("sample_business_date"),
         F.col("attributes").alias("sample_attributes"),
     )
-    listed = sources.select("data_source_id", F.col("attributes").alias("source_attributes"))
-    return with_vendor(sample, sources).join(listed, "data_source_id", "left").orderBy("asset_id", "data_source_id")
+    described = sample.join(
+        sources.select(
+            "data_source_id", "vendor_id", "vendor_name", "vendor_description",
+            F.col("attributes").alias("source_attributes"),
+        ),
+        "data_source_id", "left",
+    )
+    return _sorted_for(described, asset_id or source_id, "asset_id", "data_source_id")
 
 
 def asset_indicators(assets: DataFrame, sources: DataFrame, facts: DataFrame, asset_id: str | None = None) -> DataFrame:
@@ -137,11 +149,8 @@ def market_predictions(predictions: DataFrame) -> DataFrame:
 def asset_analytics(assets: DataFrame, totals: DataFrame, predictions: DataFrame, asset_id: str | None = None) -> DataFrame:
     """Yearly totals and the prediction of each asset, one row per year (null without totals)."""
     known = where_equal(assets, asset_id=asset_id).select("asset_id")
-    return (
-        known.join(totals, "asset_id", "left")
-        .join(predictions.drop("calculation_time"), "asset_id", "left")
-        .orderBy("asset_id", "business_date_year")
-    )
+    joined = known.join(totals, "asset_id", "left").join(predictions.drop("calculation_time"), "asset_id", "left")
+    return _sorted_for(joined, asset_id, "business_date_year")
 
 
 def summary_texts(assets: DataFrame, totals: DataFrame, predictions: DataFrame) -> DataFrame:

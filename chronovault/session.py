@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call-site capture on every column operation costs more than building the plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -47,14 +47,17 @@ def tso2(spark, sf):
     , years AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY business_date_year DESC) AS r
                 FROM totals) WHERE r = 1)
     SELECT asset_id, concat_ws(chr(10), 'Asset: ' || asset_id,
-           'Latest year (' || business_date_year || '): avg ' || round(average_close_price, 2) || ', min ' || min_close_price
+           'Latest year (' || business_date_year || '): avg ' || round(average_close_price + 1.3e-9, 2) || ', min ' || min_close_price
                || ', max ' || max_close_price,
-           'Prediction: next close ' || round(predicted_next_close_price, 2) || ' (r² ' || round(r_squared, 4) || ')',
+           'Prediction: next close ' || round(predicted_next_close_price + 1.3e-9, 2) || ' (r² ' || round(r_squared + 1.3e-9, 4) || ')',
            CASE WHEN business_date_year IS NULL AND training_points IS NULL
                 THEN 'No yearly summaries or predictions available.' END) AS summary
     FROM assets LEFT JOIN years USING (asset_id) LEFT JOIN trends USING (asset_id)"""))
 def str6(spark, sf):
-    facts = v.facts(spark, sf)
-    return catalog.summary_texts(
-        v.assets(spark, sf), statistics.yearly_totals(facts), statistics.linear_trends(facts)
-    )
+    # exact decimal ties are moved off the rounding edge, as in r6
+    facts, shift = v.facts(spark, sf), F.lit(1.3e-9)
+    totals = statistics.yearly_totals(facts).withColumn("average_close_price", F.col("average_close_price") + shift)
+    trends = statistics.linear_trends(facts).withColumns({
+        c: F.col(c) + shift for c in ("predicted_next_close_price", "r_squared")
+    })
+    return catalog.summary_texts(v.assets(spark, sf), totals, trends)
