@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import materialise
-from ..operators.dimensions import asset_changes, fold_assets, fold_sources, source_changes
+from ..functions.text import asset_class, asset_metadata
+from ..operators.deletes import asset_delete_markers
+from ..operators.dimensions import asset_changes, deactivate_assets, fold_assets, fold_sources, source_changes
 from ..operators.filters import where_in
+from ..operators.series import backfill, backfill_status
 from ..operators.statistics import linear_trends, yearly_totals
 from ..operators.versions import latest_versions, latest_year
 from ..sources.pages import ingest_batch, ingest_status
@@ -58,12 +62,55 @@ def recent_records(facts: DataFrame, asset_ids: Sequence[str] | DataFrame | None
     return latest_versions(facts, asset_ids)
 
 
-def run_analytics(spark: SparkSession, root: str, asset_ids=None) -> None:
-    """Recomputes and replaces the stored totals and trends."""
+def run_backfill(
+    spark: SparkSession, root: str, assets: DataFrame, start, end, source_id: str | None = None, omit: Sequence[str] = ()
+) -> DataFrame:
+    """Fills the missing dates of the assets in the store and returns a status row per asset."""
+    facts = read_facts(spark, table_paths(root)["facts"])
+    made = materialise(spark, backfill(facts, assets, start, end, source_id, omit), "backfill")
+    attributes_only = F.struct(*(
+        (F.col("attributes") if f.name == "attributes" else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schemas.SOURCE_METADATA.fields
+    ))
+    described = made.withColumns({
+        "asset_metadata": asset_metadata(F.col("asset_id"), asset_class(F.col("asset_id"))),
+        "source_metadata": attributes_only,
+    })
+    store_batch(spark, described, root)
+    return backfill_status(assets, made)
+
+
+def mark_assets_deleted(spark: SparkSession, root: str, requests: DataFrame, now: datetime | None = None) -> None:
+    """Appends a marker per requested asset, once, and logs known assets as inactive."""
+    paths = table_paths(root)
+    at = F.lit(now or datetime.now(timezone.utc).replace(microsecond=0)).cast("timestamp")
+    markers = materialise(spark, asset_delete_markers(requests, at), "markers")
+    known = read_assets(spark, root).join(markers.select("asset_id").distinct(), "asset_id", "left_semi")
+    changes = materialise(spark, deactivate_assets(known, markers, at).select(*schemas.ASSETS.names), "inactive")
+    append_facts(spark, markers, paths["facts"])
+    append_rows(changes, paths["asset_changes"])
+
+
+def run_analytics(
+    spark: SparkSession, root: str, asset_ids=None, descriptive: bool = True, predictive: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Recomputes the stored totals and trends, and returns both as stored afterwards.
+
+    Results are complete before they replace anything. A run that finds no priced row
+    leaves the stored totals as they were.
+    """
     paths = table_paths(root)
     facts = read_facts(spark, paths["facts"])
-    replace_table(yearly_totals(facts, asset_ids), paths["totals"])
-    replace_table(linear_trends(facts, asset_ids), paths["regression_results"])
+    if descriptive:
+        totals = materialise(spark, yearly_totals(facts, asset_ids), "totals")
+        if not totals.isEmpty():
+            replace_table(totals, paths["totals"])
+    if predictive:
+        replace_table(materialise(spark, linear_trends(facts, asset_ids), "trends"), paths["regression_results"])
+    return (
+        read_table(spark, paths["totals"], schemas.TOTALS),
+        read_table(spark, paths["regression_results"], schemas.REGRESSION_RESULTS),
+    )
 
 
 def run_summary(totals: DataFrame, predictions: DataFrame, asset_ids=None) -> DataFrame:

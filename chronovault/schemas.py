@@ -86,6 +86,27 @@ SOURCE_METADATA = T.StructType([
     T.StructField("vendor_description", T.StringType()),
 ])
 
+TOTALS = T.StructType([
+    T.StructField("asset_id", T.StringType()),
+    T.StructField("business_date_year", T.IntegerType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("min_close_price", T.DoubleType()),
+    T.StructField("max_close_price", T.DoubleType()),
+    T.StructField("average_close_price", T.DoubleType()),
+])
+
+REGRESSION_RESULTS = T.StructType([
+    T.StructField("asset_id", T.StringType()),
+    T.StructField("calculation_time", T.TimestampType()),
+    T.StructField("training_points", T.LongType()),
+    T.StructField("last_known_close", T.DoubleType()),
+    T.StructField("calculated_trend_slope", T.DoubleType()),
+    T.StructField("intercept", T.DoubleType()),
+    T.StructField("predicted_next_close_price", T.DoubleType()),
+    T.StructField("r_squared", T.DoubleType()),
+    T.StructField("last_business_date", T.DateType()),
+])
+
 # One landed vendor response. Directory: asset_symbol=<symbol>/page_number=<n>/*.json
 PAGES = T.StructType([
     T.StructField("dataset", T.StructType([

@@ -126,13 +126,10 @@ def cat17(spark, sf):
 def cat18(spark, sf):
     """Stores the facts, runs the analytics on the stored table and reads the stored results."""
     root = scratch_path(spark, "warehouse")
-    paths = runs.table_paths(root)
     facts = v.facts(spark, sf).withColumn("provenance", F.lit(None).cast(tables.schemas.PROVENANCE))
-    tables.append_facts(spark, facts, paths["facts"])
-    runs.run_analytics(spark, root)
-    totals = rounded_totals(spark.read.parquet(paths["totals"]))
-    trends = spark.read.parquet(paths["regression_results"])
-    return totals.join(trends, "asset_id", "left").select(
+    tables.append_facts(spark, facts, runs.table_paths(root)["facts"])
+    totals, trends = runs.run_analytics(spark, root)
+    return rounded_totals(totals).join(trends, "asset_id", "left").select(
         "asset_id", "business_date_year", "record_count", "average_close_price", "training_points",
         r6("calculated_trend_slope").alias("calculated_trend_slope"),
     )

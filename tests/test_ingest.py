@@ -1,11 +1,12 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from chronovault.plans import runs
 from chronovault.sources import pages as p
-from tests.helpers import metric, rows
+from tests.helpers import day, metric, rows
 
 HEADER = ["Date", "Open", "Close", "Volume"]
 
@@ -95,7 +96,6 @@ def test_status(spark, landed):
 
 def test_a_page_landed_twice_counts_in_its_latest_form(spark):
     schema = "asset_symbol string, page_number int, dataset struct<column_names:array<string>,data:array<array<string>>>, datatable struct<next_cursor_id:string>, next_cursor_id string, landed_at timestamp_ntz"
-    from datetime import datetime
 
     def page(hour, close):
         return ("a", 1, (["Date", "Close"], [["2026-05-01", close]]), None, None, datetime(2026, 5, 1, hour))
@@ -122,8 +122,32 @@ def test_run_ingest_twice_stores_once_and_feeds_analytics(spark, landed, tmp_pat
         ("NASDAQ-DATA-LINK.EOD", "Nasdaq Data Link / EOD Fallback (NEWCO)"),
         ("NASDAQ-DATA-LINK.QDL/BITFINEX", "Nasdaq Data Link / Bitfinex (BTCUSD)"),
     ]
-    runs.run_analytics(spark, root)
-    totals, trends = (spark.read.parquet(paths[t]) for t in ("totals", "regression_results"))
+    totals, trends = runs.run_analytics(spark, root)
     summary = runs.run_summary(totals, trends, ["BTCUSD", "UNKNOWN"])
     assert rows(summary) == [("BTCUSD", 2026, 5, pytest.approx(21.1))]  # closes 20 21 22 20 21: 20.6 + 0.1 * 5
     assert runs.recent_records(facts, ["NEWCO"]).count() == 3
+
+
+def test_backfill_delete_and_analytics_on_the_store(spark, landed, tmp_path):
+    root = str(tmp_path / "warehouse")
+    empty_totals, empty_trends = runs.run_analytics(spark, root)
+    assert empty_totals.count() == empty_trends.count() == 0
+    asked = runs.asset_frame(spark, ["BTCUSD"])
+    runs.run_ingest(spark, landed, asked, root)
+    for expected in (("BTCUSD", "ok", 2), ("BTCUSD", "noop", 0)):
+        assert rows(runs.run_backfill(spark, root, asked, "2026-05-04", "2026-05-07")) == [expected]
+    facts = runs.read_facts(spark, runs.table_paths(root)["facts"])
+    assert rows(facts.where("provenance.source_name = 'BACKFILL'"), "business_date", metric("close_price")) == [
+        (day("2026-05-06"), 21.0), (day("2026-05-07"), 21.0),
+    ]
+    requests = runs.asset_frame(spark, ["btcusd", "ghost"])
+    for _ in range(2):
+        runs.mark_assets_deleted(spark, root, requests, datetime(2030, 1, 1, tzinfo=timezone.utc))
+    facts = runs.read_facts(spark, runs.table_paths(root)["facts"])
+    assert rows(facts.where("deleted"), "asset_id", "business_date") == [("BTCUSD", day("2030-01-01")), ("GHOST", day("2030-01-01"))]
+    assert rows(runs.read_assets(spark, root), "asset_id", "active", "last_seen") == [("BTCUSD", False, datetime(2030, 1, 1))]
+    assert runs.read_assets(spark, root).collect()[0].supported_indicators == [
+        "business_date", "close_price", "open_price", "volume",
+    ]
+    totals, trends = runs.run_analytics(spark, root, predictive=False)
+    assert rows(totals, "asset_id", "record_count") == [("BTCUSD", 7)] and trends.count() == 0
