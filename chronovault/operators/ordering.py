@@ -1,12 +1,12 @@
 """Row positions and previous values within an asset's series, for series of any length.
 
 An ordinary asset is one window over its rows. An asset can also hold a large share of the
-table, and then its window would be one endless task. Such assets are found first, and
-their rows are numbered through cells: (day, day of system date, second of system date,
-id prefix) is a prefix of the sort order, so a row's position is the number of rows in all
-earlier cells plus its place within its own cell. Earlier rows are counted level by level,
-and every level holds a bounded number of children per parent (days, seconds of a day,
-id prefixes).
+table, and then its window would be one endless task. The rows of such assets are numbered
+through cells instead: a cell is a range of the sort order, and a row's position is the
+number of rows in all earlier cells plus its place within its own cell. A cell is a
+business date; a date that is too large itself is cut further, into days of the system
+date, seconds of such a day, and prefixes of the id. Earlier rows are counted level by
+level, where a parent has a bounded number of children (days, seconds of a day, prefixes).
 """
 
 from __future__ import annotations
@@ -26,24 +26,33 @@ ORDER = ["business_date", "system_date", "ingest_id"]
 _ID_PREFIX = 3
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """The keys with more than ``hot_rows`` rows and more than 1/MAX_HOT of all: fewer than MAX_HOT keys."""
+    total = df.agg(F.count(F.lit(1)))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") * MAX_HOT > total.scalar())).select(*keys)
+
+
 def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys). Null keys count as ordinary."""
-    total = df.agg(F.count(F.lit(1)))
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(
-        (F.col("_rows") > hot_rows) & (F.col("_rows") * MAX_HOT > total.scalar())
-    ).select(key)
-    return df.join(F.broadcast(hot), key, "left_anti"), df.join(F.broadcast(hot), key, "left_semi")
+    hot = F.broadcast(hot_keys(df, [key], hot_rows))
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
 
 
-def _levels() -> dict[str, Column]:
+def _with_cells(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """The rows with their cell columns, which together are a prefix of the sort order."""
     second = F.coalesce(F.unix_seconds("system_date"), F.lit(-(2**62)))
-    return {
-        "_day": F.coalesce(F.unix_date("business_date"), F.lit(-(2**31))),
-        "_system_day": F.floor(second / 86400),
-        "_second": second,
-        "_prefix": F.coalesce(F.substring("ingest_id", 1, _ID_PREFIX), F.lit("")),
+    fine: dict[str, tuple[Column, Column]] = {
+        "_system_day": (F.floor(second / 86400), F.lit(0).cast("long")),
+        "_second": (second, F.lit(0).cast("long")),
+        "_prefix": (F.coalesce(F.substring("ingest_id", 1, _ID_PREFIX), F.lit("")), F.lit("")),
     }
+    rows = df.withColumn("_day", F.coalesce(F.unix_date("business_date"), F.lit(-(2**31))))
+    large = hot_keys(rows, [key, "_day"], hot_rows).withColumn("_large", F.lit(True))
+    rows = rows.join(F.broadcast(large), [key, "_day"], "left").withColumns({
+        name: F.when(F.col("_large"), cut).otherwise(whole) for name, (cut, whole) in fine.items()
+    })
+    return rows.drop("_large"), ["_day", *fine]
 
 
 def _rows_before(cells: DataFrame, key: str, levels: list[str]) -> DataFrame:
@@ -65,15 +74,14 @@ def _rows_before(cells: DataFrame, key: str, levels: list[str]) -> DataFrame:
     return before
 
 
-def _hot_steps(hot: DataFrame, key: str, counted: str) -> DataFrame:
-    levels = _levels()
-    rows = hot.withColumns(levels)
+def _hot_steps(hot: DataFrame, key: str, counted: str, hot_rows: int) -> DataFrame:
+    rows, levels = _with_cells(hot, key, hot_rows)
     cell = [key, *levels]
     cells = rows.groupBy(*cell).agg(F.count(counted).alias("_rows"))
     window = Window.partitionBy(*cell).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_inside", F.count(counted).over(window))
     return (
-        placed.join(_rows_before(cells, key, list(levels)), cell)
+        placed.join(_rows_before(cells, key, levels), cell)
         .withColumn("time_step", F.col("_inside") + F.col("_before"))
         .drop(*levels, "_inside", "_before")
     )
@@ -84,7 +92,7 @@ def time_steps(df: DataFrame, counted: str, key: str = "asset_id", hot_rows: int
     ordinary, hot = split_hot(df, key, hot_rows)
     window = Window.partitionBy(key).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     return ordinary.withColumn("time_step", F.count(counted).over(window)).unionByName(
-        _hot_steps(hot, key, counted)
+        _hot_steps(hot, key, counted, hot_rows)
     )
 
 
@@ -106,7 +114,7 @@ def with_previous(
     blocks = F.when((F.col("time_step") + 1) % block_rows == 0, F.array(block, block + 1)).otherwise(F.array(block))
     in_block = Window.partitionBy(key, "_block").orderBy("time_step")
     hot = (
-        _hot_steps(hot, key, value)
+        _hot_steps(hot, key, value, hot_rows)
         .withColumn("_block", F.explode(blocks))
         .withColumn("previous", F.lag(value).over(in_block))
         .where(F.col("_block") == block)

@@ -25,7 +25,8 @@ def _each_batch(stream: DataFrame, write: Callable[[DataFrame], None], checkpoin
     def stored(batch: DataFrame, _: int) -> None:
         # the sinks read the batch several times; a lost block is recomputed from the source
         batch.persist()
-        write(batch)
+        if not batch.isEmpty():  # a micro-batch may only move the watermark
+            write(batch)
         batch.unpersist()
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(stored)
