@@ -13,11 +13,32 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # top-k per key keeps its cut below the shuffle up to this k
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # call-site capture on every column operation costs more than building the plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+_PARTITION_BYTES = 256 * 1024**2
+
+
+def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a cluster run whose largest shuffle is about ``shuffle_bytes``.
+
+    Enough shuffle partitions that one fits an executor's memory share; AQE merges the
+    small ones. Streaming state lives on disk.
+    """
+    partitions = min(100_000, max(200, shuffle_bytes // _PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(_PARTITION_BYTES),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(app_name: str = "chronovault", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; extra settings as ``spark__sql__x="y"`` or a dict."""
     builder = SparkSession.builder.appName(app_name)

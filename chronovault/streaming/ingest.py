@@ -12,12 +12,16 @@ from ..plans.runs import store_batch
 from ..sources.tables import append_facts
 
 
-def dedupe_stream(facts: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One row per ingest_id among rows that arrive within ``delay`` of each other.
+def dedupe_stream(facts: DataFrame, delay: str | None = None) -> DataFrame:
+    """Drops copies of an ingest_id that arrive within ``delay`` of each other, before the sink.
 
-    The state holds the ids of the watermark span only; older copies are caught by the
-    insert-if-absent of the sink.
+    The state holds the ids of that span only. Rows whose system date is older than the
+    watermark are dropped by Spark, so give a delay only where the system date is the
+    arrival time. Without one the stream passes unchanged and the sink alone keeps one row
+    per id, whatever the order of arrival.
     """
+    if delay is None:
+        return facts
     return facts.withWatermark("system_date", delay).dropDuplicatesWithinWatermark(["ingest_id"])
 
 
@@ -33,7 +37,9 @@ def _each_batch(stream: DataFrame, write: Callable[[DataFrame], None], checkpoin
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_facts(spark: SparkSession, facts: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", **trigger) -> StreamingQuery:
+def stream_facts(
+    spark: SparkSession, facts: DataFrame, path: str, checkpoint: str, delay: str | None = None, **trigger
+) -> StreamingQuery:
     """Appends a stream of facts, exactly one row per ingest_id.
 
     A micro-batch that is retried after a failure finds its ids stored and adds nothing.
@@ -41,7 +47,9 @@ def stream_facts(spark: SparkSession, facts: DataFrame, path: str, checkpoint: s
     return _each_batch(dedupe_stream(facts, delay), lambda b: append_facts(spark, b, path), checkpoint, **trigger)
 
 
-def stream_batches(spark: SparkSession, batches: DataFrame, root: str, checkpoint: str, delay: str = "1 hour", **trigger) -> StreamingQuery:
+def stream_batches(
+    spark: SparkSession, batches: DataFrame, root: str, checkpoint: str, delay: str | None = None, **trigger
+) -> StreamingQuery:
     """Appends facts with metadata and logs the dimension changes of each micro-batch."""
     return _each_batch(dedupe_stream(batches, delay), lambda b: store_batch(spark, b, root), checkpoint, **trigger)
 

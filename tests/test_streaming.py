@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from chronovault import schemas
@@ -18,13 +19,17 @@ LATE = [
 ]
 
 
-def test_each_id_is_stored_once_across_files_and_restarts(spark, tmp_path):
+NEW_BUT_OLD = [("C", "S", "2023-01-01", "2023-01-01 10:00:00", {"close_price": 4.0}, "4")]
+
+
+@pytest.mark.parametrize("delay,ids", [(None, "1234"), ("1 hour", "123")])
+def test_each_id_is_stored_once_across_files_and_restarts(spark, tmp_path, delay, ids):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "facts", "checkpoint"))
-    for batch in (FIRST, LATE, FIRST + LATE):
+    for batch in (FIRST, LATE, FIRST + LATE, NEW_BUT_OLD):
         facts(spark, batch).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schemas.FACTS).parquet(source)
-        ingest.stream_facts(spark, stream, target, checkpoint).awaitTermination()
-    assert rows(tables.read_facts(spark, target), "ingest_id") == [("1",), ("2",), ("3",)]
+        ingest.stream_facts(spark, stream, target, checkpoint, delay).awaitTermination()
+    assert rows(tables.read_facts(spark, target), "ingest_id") == [(i,) for i in ids]
 
 
 def test_totals_follow_the_stream(spark, tmp_path):
