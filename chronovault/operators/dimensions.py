@@ -30,11 +30,11 @@ def _latest(value: Column, when: Column) -> Column:
 def union_attributes(rows: DataFrame, key: str, column: str = "attributes") -> DataFrame:
     """Sorted set of all list entries per key.
 
-    Distinct lists first, then distinct (key, entry): what is collected per key is its
-    number of different attribute names, not its rows.
+    Distinct lists first, then a set per key that is merged before the shuffle: what is
+    collected per key is its number of different attribute names, not its rows.
     """
-    entries = rows.select(key, column).distinct().select(key, F.explode(column).alias("_entry")).distinct()
-    return entries.groupBy(key).agg(F.array_sort(F.collect_list("_entry")).alias(column))
+    entries = rows.select(key, column).distinct().select(key, F.explode(column).alias("_entry"))
+    return entries.groupBy(key).agg(F.array_sort(F.collect_set("_entry")).alias(column))
 
 
 def _asset_variants(batch: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from ..operators.statistics import linear_trends, yearly_totals
 from ..operators.versions import latest_versions, latest_year
 from ..sources.pages import ingest_batch, ingest_status
 from ..sources.tables import append_facts, append_rows, read_facts, read_table, replace_table
+from .catalog import supported_assets
 
 
 def table_paths(root: str) -> dict[str, str]:
@@ -47,12 +48,14 @@ def read_sources(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_ingest(
-    spark: SparkSession, pages: DataFrame, requested: DataFrame, root: str, omit: Sequence[str] = ()
+    spark: SparkSession, pages: DataFrame, requested: DataFrame | None, root: str, omit: Sequence[str] = ()
 ) -> DataFrame:
     """Ingests landed pages for the requested assets and returns a status row per asset.
 
+    Without a request, all supported assets are ingested.
     The batch is written once and then read by each sink, so pages are parsed once.
     """
+    requested = supported_assets(spark) if requested is None else requested
     batch = materialise(spark, ingest_batch(pages, requested, omit), "ingest")
     store_batch(spark, batch, root)
     return ingest_status(requested, batch)

@@ -188,6 +188,11 @@ def template_batch(assets: DataFrame, omit: Sequence[str] = (), now: Column | No
     return _as_batch(described, omit, now)
 
 
+def normalise_requests(requested: DataFrame) -> DataFrame:
+    """Distinct normalised asset ids of a request table, without blanks."""
+    return requested.select(symbol(F.col("asset_id")).alias("asset_id")).where(F.col("asset_id") != "").distinct()
+
+
 def without_data(requested: DataFrame, reached: DataFrame) -> DataFrame:
     """Requested assets without a landed page, or whose walk met an empty page."""
     usable = reached.groupBy("asset_id").agg(F.min(F.size("rows")).alias("_least")).where("_least > 0")
@@ -206,7 +211,7 @@ def ingest_batch(
     normal = normalise_pages(pages)
     if requested is None:
         requested = normal.select("asset_id").distinct()
-    requested = requested.select(symbol(F.col("asset_id")).alias("asset_id")).where(F.col("asset_id") != "").distinct()
+    requested = normalise_requests(requested)
     reached = reached_pages(normal.join(requested, "asset_id", "left_semi"), max_pages, max_rows)
     empty = without_data(requested, reached)
     rows = cap_rows(page_rows(reached.join(empty, "asset_id", "left_anti")), max_rows)
@@ -216,8 +221,9 @@ def ingest_batch(
 
 def ingest_status(requested: DataFrame, batch: DataFrame) -> DataFrame:
     """``ingested`` or ``error`` per requested asset, with its number of rows."""
+    requested = normalise_requests(requested)
     counts = batch.groupBy("asset_id").agg(F.count(F.lit(1)).alias("_n"))
     rows = F.coalesce("_n", F.lit(0).cast("long"))
-    return requested.select("asset_id").join(counts, "asset_id", "left").select(
+    return requested.join(counts, "asset_id", "left").select(
         "asset_id", F.when(rows > 0, "ingested").otherwise("error").alias("status"), rows.alias("rows")
     )

@@ -123,5 +123,4 @@ def src3(spark, sf):
     FROM requested r LEFT JOIN (SELECT * FROM capped WHERE asset_id IN (SELECT asset_id FROM usable)) u ON u.asset_id = r.asset_id
     GROUP BY 1""")
 def src5(spark, sf):
-    requested = _requested(spark, sf).select(F.upper("asset_id").alias("asset_id"))
-    return p.ingest_status(requested, _batch(spark, sf, fallback=False))
+    return p.ingest_status(_requested(spark, sf), _batch(spark, sf, fallback=False))

@@ -89,7 +89,7 @@ def test_omit_applies_to_metrics_and_attributes(spark, landed):
 
 
 def test_status(spark, landed):
-    asked = runs.asset_frame(spark, ["BTCUSD", "AAPL", "NEWCO"])
+    asked = runs.asset_frame(spark, [" btcusd ", "AAPL", "NEWCO", " "])
     status = p.ingest_status(asked, p.ingest_batch(landed, asked, fallback=False))
     assert rows(status) == [("AAPL", "error", 0), ("BTCUSD", "ingested", 5), ("NEWCO", "error", 0)]
 
@@ -151,3 +151,8 @@ def test_backfill_delete_and_analytics_on_the_store(spark, landed, tmp_path):
     ]
     totals, trends = runs.run_analytics(spark, root, predictive=False)
     assert rows(totals, "asset_id", "record_count") == [("BTCUSD", 7)] and trends.count() == 0
+
+
+def test_without_a_request_all_supported_assets_are_ingested(spark, landed, tmp_path):
+    status = runs.run_ingest(spark, landed, None, str(tmp_path / "warehouse"))
+    assert rows(status.groupBy("status").agg(F.count("*"), F.sum("rows"))) == [("ingested", 20, 5 + 2 + 1 + 17 * 3)]
