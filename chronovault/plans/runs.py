@@ -47,6 +47,13 @@ def read_sources(spark: SparkSession, root: str) -> DataFrame:
     return fold_sources(read_table(spark, table_paths(root)["source_changes"], schemas.SOURCES))
 
 
+def compact_dimensions(spark: SparkSession, root: str) -> None:
+    """Replaces the change logs by their folded rows. Run it while nothing is appended."""
+    paths = table_paths(root)
+    for name, current in (("asset_changes", read_assets(spark, root)), ("source_changes", read_sources(spark, root))):
+        replace_table(materialise(spark, current, name), paths[name])
+
+
 def run_ingest(
     spark: SparkSession, pages: DataFrame, requested: DataFrame | None, root: str, omit: Sequence[str] = ()
 ) -> DataFrame:

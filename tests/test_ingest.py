@@ -149,6 +149,10 @@ def test_backfill_delete_and_analytics_on_the_store(spark, landed, tmp_path):
     assert runs.read_assets(spark, root).collect()[0].supported_indicators == [
         "business_date", "close_price", "open_price", "volume",
     ]
+    before = rows(runs.read_assets(spark, root)), rows(runs.read_sources(spark, root))
+    runs.compact_dimensions(spark, root)
+    assert (rows(runs.read_assets(spark, root)), rows(runs.read_sources(spark, root))) == before
+    assert spark.read.parquet(runs.table_paths(root)["asset_changes"]).count() == 1
     totals, trends = runs.run_analytics(spark, root, predictive=False)
     assert rows(totals, "asset_id", "record_count") == [("BTCUSD", 7)] and trends.count() == 0
 

@@ -44,6 +44,15 @@ def test_reads_prune_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(business_month" in plan
 
 
+def test_stored_files_are_balanced_and_sorted(spark, tmp_path):
+    rows_in = facts(spark, [(a, "S", "2024-01-01", "2024-01-01", {}, f"{a}{i}") for i in range(9) for a in "CAB"])
+    layout = tables.stored_layout(tables.to_stored(rows_in))
+    assert "REBALANCE_PARTITIONS_BY_COL" in layout._jdf.queryExecution().executedPlan().toString()
+    tables.append_facts(spark, rows_in, str(tmp_path / "facts"))
+    order = [r.asset_id for r in spark.read.parquet(str(tmp_path / "facts")).coalesce(1).collect()]
+    assert order == sorted(order) and len(order) == 27
+
+
 def test_a_missing_ingest_id_fails(spark, tmp_path):
     bad = facts(spark, [("A", "S", "2024-01-01", "2024-01-01", {}, None)])
     with pytest.raises(Exception, match="ingest_id"):
