@@ -24,23 +24,28 @@ def price(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*(metric(df, n) for n in names))
 
 
-def zip_metrics(columns: Column, row: Column) -> Column:
-    """Header and row arrays to a metric map, without column 0 (the date).
+def metric_layout(columns: Column) -> Column:
+    """Where each metric stands in a row: (name, place) entries for all columns but the date.
 
-    When two headers share a canonical name the later column wins.
+    When two headers share a canonical name the later column counts. A layout belongs to a
+    page, so it is computed once per page and not per row.
     """
+
+    def last_places(names: Column) -> Column:
+        placed = F.transform(names, lambda name, i: F.struct(name.alias("name"), (i + 1).alias("place")))
+        later = lambda e: F.slice(names, e["place"] + 1, F.size(names))
+        return F.filter(placed, lambda e: F.array_position(later(e), e["name"]) == 0)
+
     names = F.transform(F.slice(columns, 2, F.greatest(F.size(columns), F.lit(1))), metric_name)
-    values = F.slice(row, 2, F.greatest(F.size(row), F.lit(1)))
-    entries = F.transform(
-        names,
-        lambda name, i: F.struct(
-            name.alias("key"),
-            F.get(values, i).try_cast("double").alias("value"),
-            i.alias("at"),
-        ),
+    # the one-element array binds the names, which are used several times
+    return F.get(F.transform(F.array(names), last_places), F.lit(0))
+
+
+def zip_metrics(layout: Column, row: Column) -> Column:
+    """A row array to a metric map; a value that is no number or is missing becomes null."""
+    return F.map_from_entries(
+        F.transform(layout, lambda e: F.struct(e["name"], F.get(row, e["place"]).try_cast("double")))
     )
-    last = F.filter(entries, lambda e: ~F.exists(entries, lambda o: (o["key"] == e["key"]) & (o["at"] > e["at"])))
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
 
 
 def derive_metrics(m: Column) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .. import fixed, schemas
 from ..functions.identity import ingest_id
 from ..functions.metrics import (
-    attribute_list, derive_metrics, drop_attributes, metric_keys, omit_metrics, provenance, redact_parameters,
-    zip_metrics,
+    attribute_list, derive_metrics, drop_attributes, metric_keys, metric_layout, omit_metrics, provenance,
+    redact_parameters, zip_metrics,
 )
 from ..functions.text import asset_class, asset_metadata, provider, symbol
 from ..operators.versions import top_versions
@@ -35,16 +35,20 @@ def request_parameters(cursor: Column | None = None) -> Column:
 
 
 def normalise_pages(pages: DataFrame) -> DataFrame:
-    """Pages with asset_id, header, row arrays, next cursor and redacted request parameters.
+    """Pages with asset_id, row arrays, next cursor, redacted request parameters, and what
+    its rows need of the header: lower-case columns, attribute list, metric layout.
 
     A page that was landed more than once counts in its latest form.
     """
+    columns = F.coalesce("dataset.column_names", F.array().cast("array<string>"))
     params = F.col("query_parameters") if "query_parameters" in pages.columns else request_parameters()
     landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None).cast("timestamp")
     normal = pages.select(
         symbol(F.col("asset_symbol")).alias("asset_id"),
         F.col("page_number").cast("int").alias("page_number"),
-        F.col("dataset.column_names").alias("columns"),
+        F.transform(columns, F.lower).alias("columns"),
+        attribute_list(columns).alias("attributes"),
+        metric_layout(columns).alias("layout"),
         F.coalesce("dataset.data", F.array().cast("array<array<string>>")).alias("rows"),
         F.coalesce("datatable.next_cursor_id", "next_cursor_id").alias("next_cursor_id"),
         redact_parameters(params).alias("query_parameters"),
@@ -76,7 +80,7 @@ def reached_pages(
 def page_rows(pages: DataFrame) -> DataFrame:
     """One row per data row of each reached page, with its 0-based place on the page and in the walk."""
     return pages.select(
-        "asset_id", "page_number", "columns", "next_cursor_id", "query_parameters", "first_row",
+        "asset_id", "page_number", "columns", "attributes", "layout", "next_cursor_id", "query_parameters", "first_row",
         F.posexplode("rows").alias("page_row_index", "row"),
     ).withColumn("row_index", (F.col("first_row") + F.col("page_row_index")).cast("int")).drop("first_row")
 
@@ -129,16 +133,16 @@ def vendor_batch(rows: DataFrame, omit: Sequence[str] = (), now: Column | None =
             "asset_id",
             source["source_identifier"].alias("data_source_id"),
             F.get("row", F.lit(0)).try_cast("date").alias("business_date"),
-            zip_metrics(F.col("columns"), F.col("row")).alias("metrics"),
+            zip_metrics(F.col("layout"), F.col("row")).alias("metrics"),
             provenance(
                 source_name=F.lit(fixed.VENDOR_NAME), source_url=url,
                 query_parameters=F.col("query_parameters"), page_number=F.col("page_number"),
                 page_row_index=F.col("page_row_index"), row_index=F.col("row_index"),
                 next_cursor_id=F.col("next_cursor_id"),
-                columns=F.transform("columns", F.lower), captured_at=now,
+                columns=F.col("columns"), captured_at=now,
             ).alias("provenance"),
             asset_metadata(F.col("asset_id"), F.col("_class")).alias("asset_metadata"),
-            _source_metadata(display, description, drop_attributes(attribute_list(F.col("columns")), omit)).alias("source_metadata"),
+            _source_metadata(display, description, drop_attributes(F.col("attributes"), omit)).alias("source_metadata"),
         )
     )
     return _as_batch(described, omit, now)

@@ -200,8 +200,8 @@ def _zipped(spark, sf):
         (F.col("value") * 2).cast("string"),
         F.when(F.col("event_type") == "view", F.lit("n/a")).otherwise(F.get_json_object("props", "$.k")),
     )
-    columns = F.array(*map(F.lit, _COLUMNS))
-    return events(spark, sf).select("event_id", m.zip_metrics(columns, row).alias("metrics"))
+    layout = m.metric_layout(F.array(*map(F.lit, _COLUMNS)))
+    return events(spark, sf).select("event_id", m.zip_metrics(layout, row).alias("metrics"))
 
 
 def _entry(name: str, alias: str | None = None):

@@ -105,6 +105,12 @@ def test_a_page_landed_twice_counts_in_its_latest_form(spark):
     assert rows(batch, "asset_id", metric("close_price")) == [("A", 3.0)]
 
 
+def test_a_page_without_header_has_no_metrics(spark, tmp_path):
+    land(tmp_path / "landing", "A", 1, [["2026-05-01", 1.0]], header=None)
+    batch = p.ingest_batch(p.read_pages(spark, str(tmp_path / "landing")))
+    assert rows(batch.select("metrics", "attributes")) == [({}, ["business_date"])]
+
+
 def test_run_ingest_twice_stores_once_and_feeds_analytics(spark, landed, tmp_path):
     root = str(tmp_path / "warehouse")
     asked = runs.asset_frame(spark, ["BTCUSD", "NEWCO"])

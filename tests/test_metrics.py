@@ -16,15 +16,19 @@ def metric_map(**entries):
 
 
 def test_zip_skips_the_date_and_the_later_duplicate_wins(spark):
-    zipped = value(spark, m.zip_metrics(array("Date", "Open", "Adj Close", "Adjusted_Close"), array("2024-01-01", "1", "2", "3.5")))
+    zipped = value(spark, m.zip_metrics(m.metric_layout(array("Date", "Open", "Adj Close", "Adjusted_Close")), array("2024-01-01", "1", "2", "3.5")))
     assert zipped == {"open_price": 1.0, "adjusted_close_price": 3.5}
 
 
 def test_zip_of_short_and_odd_rows(spark):
-    assert value(spark, m.zip_metrics(array("Date", "Open", "Close"), array("2024-01-01", "n/a"))) == {
+    assert value(spark, m.zip_metrics(m.metric_layout(array("Date", "Open", "Close")), array("2024-01-01", "n/a"))) == {
         "open_price": None, "close_price": None,
     }
-    assert value(spark, m.zip_metrics(array("Date"), array("2024-01-01"))) == {}
+    assert value(spark, m.zip_metrics(m.metric_layout(array("Date")), array("2024-01-01"))) == {}
+    three = array("Date", "Close", "close", " CLOSE ", "Open")
+    assert value(spark, m.zip_metrics(m.metric_layout(three), array("2024-01-01", "1", "2", "3", "4"))) == {
+        "close_price": 3.0, "open_price": 4.0,
+    }
 
 
 def test_derive_tests_the_key_not_the_value(spark):

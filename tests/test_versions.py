@@ -1,3 +1,5 @@
+import random
+
 from chronovault.operators import filters, versions
 from tests.helpers import facts, rows
 
@@ -88,3 +90,30 @@ def test_page_and_membership(spark):
     assert ids(filters.where_in(table, "asset_id", ["B"])) == ["d1"]
     assert ids(filters.where_in(table, "asset_id", spark.createDataFrame([("B",)], "asset_id string"))) == ["d1"]
     assert ids(filters.not_deleted(table)) == ["a1", "a2", "a3", "b1", "c2", "d1"]
+
+
+def test_picks_against_brute_force(spark):
+    pick = random.Random(5)
+    table = []
+    for i in range(700):
+        deleted = pick.random() < 0.3
+        table.append((
+            pick.choice("ABCDE"), pick.choice("ST"), f"2024-01-{pick.randrange(1, 8):02d}",
+            f"2024-02-01 00:00:{pick.randrange(30):02d}", {} if deleted else {"close_price": 1.0}, f"{i:04d}",
+            True if deleted else None,
+        ))
+    frame, bound = facts(spark, table), "2024-02-01 00:00:20"
+
+    def best(key, mode, known=table):
+        if mode == "ignore":
+            known = [r for r in known if not r[6]]
+        top = {}
+        for r in sorted(known, key=lambda r: (r[3], r[5])):
+            top[tuple(r[k] for k in key)] = r
+        return sorted(r[5] for r in top.values() if not (mode == "apply" and r[6]))
+
+    early = [r for r in table if r[3] <= bound]
+    for mode in ("ignore", "include", "apply"):
+        assert ids(versions.latest_versions(frame, tombstones=mode)) == best((0, 1, 2), mode)
+        assert ids(versions.latest_by_asset(frame, tombstones=mode)) == best((0, 2), mode)
+        assert ids(versions.latest_by_asset(frame, as_of_instant=bound, tombstones=mode)) == best((0, 2), mode, early)
