@@ -20,14 +20,14 @@ def yearly_totals(facts: DataFrame, asset_ids=None) -> DataFrame:
     Rows without a price, a year or an asset do not count. One partial aggregate with
     primitive buffers, so a hot asset is folded before the shuffle.
     """
-    rows = where_in(facts, "asset_id", asset_ids)
     day = F.col("business_date")
+    rows = where_in(facts, "asset_id", asset_ids).where(F.col("asset_id").isNotNull() & day.isNotNull())
     is_date = dict(facts.dtypes)["business_date"] == "date"
     priced = rows.select(
         "asset_id",
         (F.year(day) if is_date else business_year(day)).alias("business_date_year"),
         price(rows, "close_price", "close").alias("_close"),
-    ).dropna()
+    ).where(F.col("_close").isNotNull() & F.col("business_date_year").isNotNull())
     return priced.groupBy("asset_id", "business_date_year").agg(
         F.count("_close").alias("record_count"),
         F.min("_close").alias("min_close_price"),

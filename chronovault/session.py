@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even where that costs a further shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # top-k per key keeps its cut below the shuffle up to this k
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # call-site capture on every column operation costs more than building the plan
