@@ -30,15 +30,22 @@ def calendar(assets: DataFrame, start: str | date, end: str | date) -> DataFrame
     return assets.select("asset_id", F.explode(days).alias("business_date"))
 
 
-def _asset_list(facts: DataFrame, assets: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(assets, facts of these assets); every asset of the facts, unjoined, when none are given."""
+# A request for assets: a table with asset_id, a list of ids, or all assets of the facts.
+Assets = DataFrame | Sequence[str] | None
+
+
+def _asset_list(facts: DataFrame, assets: Assets) -> tuple[DataFrame, DataFrame]:
+    """(assets, facts of these assets): a list filters the scan, a table is a semi-join, None is no filter."""
     if assets is None:
         return facts.select("asset_id").where(F.col("asset_id").isNotNull()).distinct(), facts
-    return assets, where_in(facts, "asset_id", assets)
+    if isinstance(assets, DataFrame):
+        return assets, where_in(facts, "asset_id", assets)
+    listed = facts.sparkSession.createDataFrame([(a,) for a in dict.fromkeys(assets)], "asset_id string")
+    return listed, where_in(facts, "asset_id", list(assets))
 
 
 def gap_fill(
-    facts: DataFrame, assets: DataFrame | None, start, end, source_id: str | None = None,
+    facts: DataFrame, assets: Assets, start, end, source_id: str | None = None,
     limit: int | None = None, include_deleted: bool = False,
 ) -> DataFrame:
     """Exactly one row per asset and day with the daily metrics; days without data are null.
@@ -62,7 +69,7 @@ def gap_fill(
 
 
 def missing_dates(
-    facts: DataFrame, assets: DataFrame | None, start, end, source_id: str | None = None
+    facts: DataFrame, assets: Assets, start, end, source_id: str | None = None
 ) -> DataFrame:
     """The (asset, date) pairs of the range without any row, markers counting as rows."""
     assets, facts = _asset_list(facts, assets)
@@ -105,7 +112,7 @@ def backfill_source(asset: Column, nearest_source: Column, source_id: str | None
 
 
 def backfill(
-    facts: DataFrame, assets: DataFrame | None, start, end, source_id: str | None = None, omit: Sequence[str] = (),
+    facts: DataFrame, assets: Assets, start, end, source_id: str | None = None, omit: Sequence[str] = (),
     now: Column | None = None,
 ) -> DataFrame:
     """New fact rows for the missing dates, copied from the nearest record of the asset.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,16 +157,20 @@ def pair_correlations(series: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def compare_pairs(
-    facts: DataFrame, pairs: DataFrame, price_names=("close",), source_id=None, start=None, end=None,
-    hot_rows: int = HOT_ROWS,
+    facts: DataFrame, pairs: DataFrame | Sequence[tuple[str, str]], price_names=("close",), source_id=None,
+    start=None, end=None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Statistics of both assets, correlation and overlap, one row per (asset_a, asset_b).
 
-    An asset without priced rows has count 0 and no other statistics.
+    An asset without priced rows has count 0 and no other statistics. Listed pairs filter
+    the scan. For a table of pairs the statistics of all assets are computed once, which
+    costs one shuffle where a semi-join would cost one per use of the series.
     """
+    if not isinstance(pairs, DataFrame):
+        facts = where_in(facts, "asset_id", sorted({asset for pair in pairs for asset in pair}))
+        pairs = facts.sparkSession.createDataFrame(list(pairs), "asset_a string, asset_b string")
     wanted = pairs.select("asset_a", "asset_b").distinct()
-    members = wanted.select(F.explode(F.array("asset_a", "asset_b")).alias("asset_id")).distinct()
-    series = where_in(priced_series(facts, price_names, source_id, start, end), "asset_id", members)
+    series = priced_series(facts, price_names, source_id, start, end)
     stats = series_statistics(series, hot_rows)
     names = ["count", "first", "last", "average", "percent_change", "volatility"]
 

@@ -28,6 +28,8 @@ def test_backfill_fixture(spark):
         (day("2026-06-06"), 99200.0, 99200.0, "BACKFILL", "S"),
     ]
     assert rows(series.backfill_status(assets, made)) == [("BTCUSD", "ok", 3)]
+    listed = series.backfill(template(spark), ["BTCUSD", "BTCUSD"], "2026-06-01", "2026-06-06")
+    assert rows(listed, "ingest_id") == rows(made, "ingest_id")
     full = template(spark).unionByName(made.select(*template(spark).columns))
     again = series.backfill(full, assets, "2026-06-01", "2026-06-06")
     assert again.count() == 0

@@ -112,6 +112,8 @@ def test_pair_fixture(spark):
     assert a.percent_change == pytest.approx(5.0) and b.percent_change == pytest.approx(20.0)
     assert a.volatility == pytest.approx(0.102852, abs=1e-6) and b.volatility == pytest.approx(0.006428, abs=1e-6)
     assert r.correlation == pytest.approx(0.5) and r.overlap_days == 3
+    listed = st.compare_pairs(table, [("BTCUSD", "ETHUSD")], source_id="TEST", start="2026-06-01", end="2026-06-04")
+    assert listed.collect() == [r]
 
 
 def test_statistics_guards(spark):
