@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality, url_filter
+from . import line_dedup, quality, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -20,5 +26,5 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_url_filter, op8_quality_rules)}
-ORACLES: dict[str, str] = {"op2_url_filter": url_filter.oracle_sql()}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op8_quality_rules)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
