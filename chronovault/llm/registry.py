@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, quality, url_filter
+from . import decontaminate, line_dedup, quality, superminhash, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,5 +34,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op4_decontaminate, op8_quality_rules)}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op4_decontaminate, op8_quality_rules, op10_near_duplicates)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
