@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronovault.session import scratch_path
 
-from . import decontaminate, language, line_dedup, quality, superminhash, token_store, url_filter, wordbpe
+from . import attention_lm, decontaminate, language, line_dedup, quality, superminhash, token_store, url_filter, wordbpe
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,5 +62,5 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op8_quality_rules, op10_near_duplicates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op10_near_duplicates)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
