@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronovault.session import scratch_path
 
-from . import attention_lm, decontaminate, language, line_dedup, quality, superminhash, token_store, url_filter, wordbpe
+from . import attention_lm, decontaminate, language, line_dedup, quality, superminhash, token_attribution, token_store, url_filter, wordbpe
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +58,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_attribution.section_tokens(table(spark, sf_dir, "documents"))
+    whole = F.transform("section_tokens", lambda n: n.cast("long"))
+    return counted.select("doc_id", "n_tokens", "n_crossing", F.size("section_tokens").cast("long").alias("n_sections"), whole.alias("section_tokens"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op10_near_duplicates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op9_token_counts, op10_near_duplicates)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
