@@ -4,12 +4,12 @@ from __future__ import annotations
 
 # The symbols of each asset class.
 CLASS_SYMBOLS = {
-    "crypto": ["BTCUSD", "ETHUSD", "LTCUSD"],
-    "equity": ["AAPL", "AMZN", "GOOGL", "MSFT", "TSLA"],
-    "fixed_income": ["CORP1", "US10Y", "US30Y"],
-    "derivative": ["GOLDFUT", "OILFUT", "SPXOPT"],
-    "forex": ["EURUSD", "GBPUSD", "USDJPY"],
+    "equity": ["AAPL", "MSFT", "GOOGL", "TSLA", "AMZN"],
+    "fixed_income": ["US10Y", "US30Y", "CORP1"],
+    "derivative": ["OILFUT", "GOLDFUT", "SPXOPT"],
+    "forex": ["EURUSD", "USDJPY", "GBPUSD"],
     "commodity": ["CL=F", "GC=F", "NG=F"],
+    "crypto": ["BTCUSD", "ETHUSD", "LTCUSD"],
 }
 
 # The vendor all classes are served by.
@@ -103,16 +103,24 @@ DAILY_METRICS = [
 CLOSE_DERIVED = ["current_price", "adjusted_close_price", "quoted_price"]
 
 # Template rows for an asset the vendor has nothing for
-# (date, open, high, low, close, volume), newest first.
+# (date, then the template columns), newest first.
+TEMPLATE_COLUMNS = ["open_price", "close_price", "high_price", "low_price", "volume"]
 TEMPLATE_ROWS = [
-    ("2026-06-05", 98500.0, 99600.0, 98100.0, 99200.0, 34500.0),
-    ("2026-06-04", 97200.0, 98900.0, 96800.0, 98450.0, 29800.0),
-    ("2026-06-03", 96100.0, 97500.0, 95400.0, 97150.0, 41200.0),
+    ("2026-06-05", 98500.0, 99200.0, 99600.0, 98100.0, 34500.0),
+    ("2026-06-04", 97200.0, 98450.0, 98900.0, 96800.0, 29800.0),
+    ("2026-06-03", 96100.0, 97150.0, 97500.0, 95400.0, 41200.0),
 ]
-TEMPLATE_METRICS = ["open_price", "high_price", "low_price", "close_price", "volume"]
-TEMPLATE_COLUMNS = ["open_price", "close_price", "high_price", "low_price", "volume"]
 
-# Ingest bounds and query limits.
+# The attributes of a template feed, and the texts of feeds.
+TEMPLATE_ATTRIBUTES = [
+    "business_date", "open_price", "high_price", "low_price", "close_price", "volume",
+    "current_price", "adjusted_close_price", "quoted_price",
+]
+TEMPLATE_NAME = " Fallback"
+TEMPLATE_DESCRIPTION = ("Fallback sample data for the ", " ingestion pipeline.")
+INGESTED_ASSET = " Ingested asset: "
+
+# Rows asked for per page. The bounds below are never a default: a caller who wants them passes them.
 ROWS_PER_PAGE = 100
 MAX_PAGES = 5
 MAX_ROWS = 5

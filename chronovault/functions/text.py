@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 
-# A full ISO date, optionally with a time, a fraction and an offset.
+# A full ISO date, extended or basic, then a time of hours, minutes or seconds with a fraction, and an offset.
+# Groups: year, month, day, hour, minute, second, offset sign, offset hour, offset minute.
 ISO_INSTANT = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^(?:(?=\d{4}-\d\d-\d\d|\d{8}))(\d{4})-?(\d\d)-?(\d\d)"
+    r"(?:[Tt ](\d\d)(?::?(\d\d)(?::?(\d\d)(?:[.,]\d{1,9})?)?)?(?:Z|([+-])(\d\d):?(\d\d)?)?)?$"
 )
 
 
@@ -63,7 +64,16 @@ def parse_flag(c: Column) -> Column:
 def iso_instant(c: Column) -> Column:
     """ISO text to a UTC timestamp cut to the second; null if it is not ISO."""
     text = strip(c)
-    return F.when(text.rlike(ISO_INSTANT), F.date_trunc("second", F.try_to_timestamp(text)))
+
+    def part(group: int, default: str) -> Column:
+        found = F.regexp_extract(text, ISO_INSTANT, group)
+        return F.when(found == "", F.lit(default)).otherwise(found)
+
+    local = F.concat(
+        part(1, "0"), F.lit("-"), part(2, "0"), F.lit("-"), part(3, "0"), F.lit("T"), part(4, "00"), F.lit(":"), part(5, "00"), F.lit(":"),
+        part(6, "00"), part(7, "+"), part(8, "00"), F.lit(":"), part(9, "00"),
+    )
+    return F.when(text.rlike(ISO_INSTANT), F.date_trunc("second", F.try_to_timestamp(local)))
 
 
 def business_year(c: Column) -> Column:

@@ -15,10 +15,11 @@ def _now(now: Column | None) -> Column:
     return F.date_trunc("second", F.current_timestamp() if now is None else now)
 
 
-def _as_markers(keys: DataFrame, now: Column | None, reason: Column, id_provenance: Column | None = None) -> DataFrame:
+def _as_markers(keys: DataFrame, now: Column | None, reason: Column, once: bool = False) -> DataFrame:
+    """Marker rows. Each is a version of its own, with its system date in the id, unless the request counts ``once``."""
     metrics = F.create_map().cast("map<string,double>")
     described = provenance(reason=reason, source=F.lit(fixed.DELETE_WRITER))
-    identity = described if id_provenance is None else id_provenance
+    identity = provenance(reason=reason) if once else described
     rows = keys.select(
         F.col("asset_id").cast("string").alias("asset_id"),
         F.col("data_source_id").cast("string").alias("data_source_id"),
@@ -29,7 +30,7 @@ def _as_markers(keys: DataFrame, now: Column | None, reason: Column, id_provenan
         described.alias("provenance"),
         ingest_id(
             F.col("asset_id").cast("string"), F.col("data_source_id").cast("string"),
-            F.col("business_date").cast("date"), metrics, identity,
+            F.col("business_date").cast("date"), metrics, identity, None if once else _now(now),
         ).alias("ingest_id"),
         F.lit(True).alias("deleted"),
     )
@@ -65,4 +66,4 @@ def asset_delete_markers(requests: DataFrame, now: Column | None = None) -> Data
         optional("effective_date", F.to_date(_now(now))).cast("date").alias("business_date"),
         optional("reason", F.lit(fixed.DELETE_REASON)).alias("_reason"),
     ).where(F.col("asset_id") != "")
-    return _as_markers(named, now, F.col("_reason"), provenance(reason=F.col("_reason")))
+    return _as_markers(named, now, F.col("_reason"), once=True)

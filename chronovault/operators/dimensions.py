@@ -70,9 +70,10 @@ def fold_assets(changes: DataFrame, current: DataFrame | None = None) -> DataFra
         F.max(F.struct("last_seen", "active"))["active"].alias("active"),
         *(_latest(F.col(f), _given(F.col(f))).alias(f) for f in _ASSET_FIELDS),
         _latest(vendor, _given(F.col("primary_vendor_id"))).alias("_vendor"),
+        # the rows are few variants of an asset's metadata, so the set of their lists is small
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("supported_indicators")))).alias("supported_indicators"),
     )
-    indicators = union_attributes(changes, "asset_id", "supported_indicators")
-    return folded.join(indicators, "asset_id", "left").select(
+    return folded.select(
         *(
             F.col(f"_vendor.{c}").alias(c) if c in _PRIMARY_VENDOR.values()
             else F.coalesce(c, F.array().cast("array<string>")).alias(c) if c == "supported_indicators"

@@ -55,6 +55,14 @@ def present(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
-def page(df: DataFrame, *order: str | Column, limit: int, offset: int = 0) -> DataFrame:
-    """A page of a listing in a fixed order; plans as a top-k, not a full sort."""
+def page(df: DataFrame, *order: str | Column, limit: int, offset: int = 0, after: object = None) -> DataFrame:
+    """A page of a listing in a fixed order; plans as a top-k, not a full sort.
+
+    An offset gathers all rows before it, so deep pages are better asked for by ``after``, the last value of the
+    first order column on the page before, which must be unique and ascending.
+    """
+    if after is not None:
+        if not isinstance(order[0], str):
+            raise ValueError("after needs the name of an ascending column")
+        df = df.where(F.col(order[0]) > F.lit(after))
     return df.orderBy(*order).offset(offset).limit(limit)

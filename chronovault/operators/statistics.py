@@ -98,7 +98,7 @@ def ridge_trends(facts: DataFrame, asset_ids=None, hot_rows: int = HOT_ROWS, pen
     return _fit_trends(points, slope, intercept, r_squared)
 
 
-def priced_series(facts: DataFrame, price_names=("close",), source_id=None, start=None, end=None) -> DataFrame:
+def priced_series(facts: DataFrame, price_names=("close", "close_price"), source_id=None, start=None, end=None) -> DataFrame:
     """Priced rows in a date range with exclusive end; versions are used as they are."""
     rows = business_range(where_equal(facts, data_source_id=source_id), start, end, end_inclusive=False)
     return (
@@ -157,7 +157,7 @@ def pair_correlations(series: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def compare_pairs(
-    facts: DataFrame, pairs: DataFrame | Sequence[tuple[str, str]], price_names=("close",), source_id=None,
+    facts: DataFrame, pairs: DataFrame | Sequence[tuple[str, str]], price_names=("close", "close_price"), source_id=None,
     start=None, end=None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Statistics of both assets, correlation and overlap, one row per (asset_a, asset_b).

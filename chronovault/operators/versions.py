@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixed import COMMON_INDICATORS, LINEAGE_LIMIT, SERIES_LIMIT
+from ..fixed import COMMON_INDICATORS
 from ..functions.metrics import metric
 from .filters import as_of, business_range, not_deleted, page, where_equal, where_in
 
@@ -73,7 +73,7 @@ def latest_by_asset(
     return latest if limit is None else top_versions(latest, ["asset_id"], [F.desc("business_date")], limit)
 
 
-def tool_series(facts: DataFrame, asset_id=None, source_id=None, start=None, end=None, limit=SERIES_LIMIT) -> DataFrame:
+def tool_series(facts: DataFrame, asset_id=None, source_id=None, start=None, end=None, limit: int | None = None) -> DataFrame:
     """Per (asset, source): newest version per date, end exclusive, markers may win."""
     rows = where_equal(facts, asset_id=asset_id, data_source_id=source_id)
     latest = pick_latest(business_range(rows, start, end, end_inclusive=False), KEY, "include")
@@ -84,7 +84,7 @@ def tool_series(facts: DataFrame, asset_id=None, source_id=None, start=None, end
 
 def common_indicators(
     facts: DataFrame, sources: DataFrame, asset_id=None, source_id=None, start=None, end=None,
-    as_of_instant=None, limit: int | None = SERIES_LIMIT, include_deleted: bool = False,
+    as_of_instant=None, limit: int | None = None, include_deleted: bool = False,
 ) -> DataFrame:
     """Latest versions with the common indicators as columns and the vendor of their source."""
     rows = where_equal(facts, asset_id=asset_id, data_source_id=source_id)
@@ -95,10 +95,12 @@ def common_indicators(
     narrow = rows.select(
         *KEY, "system_date", "ingest_id", *(metric(rows, m).alias(m) for m in COMMON_INDICATORS)
     )
-    joined = with_vendor(top_versions(narrow, KEY, newest()), sources).drop("ingest_id")
+    latest = top_versions(narrow, KEY, newest()).drop("ingest_id")
+    order = [F.asc("asset_id"), F.asc("data_source_id"), F.desc("business_date")]
     if limit is None:
-        return joined
-    return page(joined, F.asc("asset_id"), F.asc("data_source_id"), F.desc("business_date"), limit=limit)
+        return with_vendor(latest, sources)
+    # a source has one row, so the cut comes before the join
+    return with_vendor(page(latest, *order, limit=limit), sources).orderBy(*order)
 
 
 def with_vendor(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -123,14 +125,26 @@ def find_all(facts: DataFrame, asset_id: str | None = None, source_id: str | Non
     return rows if asset_id is None and source_id is None else rows.orderBy("asset_id", "data_source_id", *newest())
 
 
-def asset_lineage(facts: DataFrame, asset_id=None, source_id=None, limit: int = LINEAGE_LIMIT) -> DataFrame:
-    """The newest ``limit`` versions of each asset, markers included."""
-    return top_versions(where_equal(facts, asset_id=asset_id, data_source_id=source_id), ["asset_id"], latest_day(), limit)
+def _lineage(rows: DataFrame, key: str, wanted: str | None, limit: int | None) -> DataFrame:
+    """The versions of a key, newest first for one wanted key; of each key the first ``limit``, if it is given.
+
+    The cut is made by (key, month) first, so that a hot key reaches its last task as ``limit`` rows of each of its months
+    and not of each task of the scan.
+    """
+    if limit is not None:
+        rows = top_versions(rows.withColumn("_month", F.trunc("business_date", "month")), [key, "_month"], latest_day(), limit)
+        rows = top_versions(rows.drop("_month"), [key], latest_day(), limit)
+    return rows if wanted is None else rows.orderBy(*latest_day())
+
+
+def asset_lineage(facts: DataFrame, asset_id=None, source_id=None, limit: int | None = None) -> DataFrame:
+    """Every version of each asset, markers included, or the newest ``limit``."""
+    return _lineage(where_equal(facts, asset_id=asset_id, data_source_id=source_id), "asset_id", asset_id, limit)
 
 
-def source_lineage(facts: DataFrame, source_id=None, limit: int = LINEAGE_LIMIT) -> DataFrame:
-    """The newest ``limit`` versions of each source, markers included."""
-    return top_versions(where_equal(facts, data_source_id=source_id), ["data_source_id"], latest_day(), limit)
+def source_lineage(facts: DataFrame, source_id=None, limit: int | None = None) -> DataFrame:
+    """Every version of each source, markers included, or the newest ``limit``."""
+    return _lineage(where_equal(facts, data_source_id=source_id), "data_source_id", source_id, limit)
 
 
 def series_between(facts: DataFrame, assets: DataFrame, start: str, end: str, asset_id: str | None = None) -> DataFrame:

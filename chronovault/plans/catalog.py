@@ -24,14 +24,14 @@ def _sorted_for(rows: DataFrame, wanted: str | None, *order) -> DataFrame:
     return rows if wanted is None else rows.orderBy(*order)
 
 
-def list_assets(assets: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
-    return assets.orderBy("asset_id") if limit is None else page(assets, "asset_id", limit=limit, offset=offset)
+def list_assets(assets: DataFrame, limit: int | None = None, offset: int = 0, after: str | None = None) -> DataFrame:
+    return assets.orderBy("asset_id") if limit is None else page(assets, "asset_id", limit=limit, offset=offset, after=after)
 
 
-def list_sources(sources: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
+def list_sources(sources: DataFrame, limit: int | None = None, offset: int = 0, after: str | None = None) -> DataFrame:
     if limit is None:
         return sources.orderBy("data_source_id")
-    return page(sources, "data_source_id", limit=limit, offset=offset)
+    return page(sources, "data_source_id", limit=limit, offset=offset, after=after)
 
 
 def count_rows(table: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def linked_sources(sources: DataFrame, facts: DataFrame, asset_id: str | None =
     return _sorted_for(links.join(sources, "data_source_id"), asset_id, "data_source_id")
 
 
-def asset_details(facts: DataFrame, asset_id: str | None = None, start=None, end=None, limit: int | None = fixed.SERIES_LIMIT) -> DataFrame:
+def asset_details(facts: DataFrame, asset_id: str | None = None, start=None, end=None, limit: int | None = None) -> DataFrame:
     """The latest version per date of an asset, the history part of its detail view.
 
     The asset row is ``get_asset`` and its sources are ``linked_sources``.
@@ -134,7 +134,7 @@ def asset_indicators(assets: DataFrame, sources: DataFrame, facts: DataFrame, as
     return known.join(linked, "asset_id", "left")
 
 
-def instrument_indicators(facts: DataFrame, sources: DataFrame, limit: int | None = fixed.SERIES_LIMIT) -> DataFrame:
+def instrument_indicators(facts: DataFrame, sources: DataFrame, limit: int | None = None) -> DataFrame:
     return common_indicators(facts, sources, limit=limit)
 
 
@@ -186,7 +186,7 @@ def summary_texts(assets: DataFrame, totals: DataFrame, predictions: DataFrame)
     )
 
 
-def series_data(facts: DataFrame, asset_id=None, source_id=None, start=None, end=None, limit=fixed.SERIES_LIMIT) -> DataFrame:
+def series_data(facts: DataFrame, asset_id=None, source_id=None, start=None, end=None, limit: int | None = None) -> DataFrame:
     return tool_series(facts, asset_id, source_id, start, end, limit)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..session import materialise
 from ..functions.text import asset_class, asset_metadata
-from ..operators.deletes import asset_delete_markers
+from ..operators.deletes import asset_delete_markers, delete_markers, partition_markers
 from ..operators.dimensions import asset_changes, deactivate_assets, fold_assets, fold_sources, source_changes
 from ..operators.filters import where_in
 from ..operators.series import backfill, backfill_status
@@ -27,14 +27,14 @@ def table_paths(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{name}" for name in names}
 
 
-def store_batch(spark: SparkSession, batch: DataFrame, root: str) -> None:
+def store_batch(spark: SparkSession, batch: DataFrame, root: str, skip_unchanged: bool = False) -> None:
     """Facts, then the dimension changes they imply.
 
     Every step may run twice: facts are insert-if-absent, and folding the same change
     twice gives the same dimension row.
     """
     paths = table_paths(root)
-    append_facts(spark, batch, paths["facts"])
+    append_facts(spark, batch, paths["facts"], skip_unchanged)
     append_rows(asset_changes(batch), paths["asset_changes"])
     append_rows(source_changes(batch), paths["source_changes"])
 
@@ -55,16 +55,17 @@ def compact_dimensions(spark: SparkSession, root: str) -> None:
 
 
 def run_ingest(
-    spark: SparkSession, pages: DataFrame, requested: DataFrame | None, root: str, omit: Sequence[str] = ()
+    spark: SparkSession, pages: DataFrame, requested: DataFrame | None, root: str, omit: Sequence[str] = (),
+    max_pages: int | None = None, max_rows: int | None = None,
 ) -> DataFrame:
     """Ingests landed pages for the requested assets and returns a status row per asset.
 
-    Without a request, all supported assets are ingested.
-    The batch is written once and then read by each sink, so pages are parsed once.
+    Without a request, all supported assets are ingested. All landed rows count unless a cap is given. A row that says what the
+    version before it says is no new version. The batch is written once and then read by each sink.
     """
     requested = supported_assets(spark) if requested is None else requested
-    batch = materialise(spark, ingest_batch(pages, requested, omit), "ingest")
-    store_batch(spark, batch, root)
+    batch = materialise(spark, ingest_batch(pages, requested, omit, max_pages, max_rows), "ingest")
+    store_batch(spark, batch, root, skip_unchanged=True)
     return ingest_status(requested, batch)
 
 
@@ -90,6 +91,16 @@ def run_backfill(
     return backfill_status(assets, made)
 
 
+def mark_rows_deleted(spark: SparkSession, root: str, keys: DataFrame, now: datetime | None = None, bulk: bool = False) -> None:
+    """Appends a marker per (asset, source, business date) of ``keys``, or per partition key for ``bulk``.
+
+    Each call is a version of its own: a key that was written again after a delete can be deleted again.
+    """
+    at = F.lit(now or datetime.now(timezone.utc).replace(microsecond=0)).cast("timestamp")
+    markers = partition_markers(keys, at) if bulk else delete_markers(keys, at)
+    append_facts(spark, materialise(spark, markers, "markers"), table_paths(root)["facts"])
+
+
 def mark_assets_deleted(spark: SparkSession, root: str, requests: DataFrame, now: datetime | None = None) -> None:
     """Appends a marker per requested asset, once, and logs known assets as inactive."""
     paths = table_paths(root)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from .fixed import DAILY_METRICS
+
 PROVENANCE = T.StructType([
     T.StructField("source_name", T.StringType()),
     T.StructField("source_url", T.StringType()),
@@ -32,7 +34,7 @@ FACTS = T.StructType([
 ])
 
 # Metrics also stored as typed columns, because Parquet cannot prune a map by key.
-PROMOTED_METRICS = ["close_price", "close"]
+PROMOTED_METRICS = [*DAILY_METRICS, "close"]
 
 # The layout on disk: FACTS, the promoted metrics, and the partition column.
 STORED_FACTS = T.StructType(

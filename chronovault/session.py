@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -54,13 +55,14 @@ def build_session(app_name: str = "chronovault", master: str | None = None, **co
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    A machine-local folder is only used by a local master, where it is shared by definition.
+    A session on one machine that names no folder gets one, once; any other is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="chronovault-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -50,44 +50,55 @@ def normalise_pages(pages: DataFrame) -> DataFrame:
         attribute_list(columns).alias("attributes"),
         metric_layout(columns).alias("layout"),
         F.coalesce("dataset.data", F.array().cast("array<array<string>>")).alias("rows"),
-        F.coalesce("datatable.next_cursor_id", "next_cursor_id").alias("next_cursor_id"),
+        # an empty cursor is none
+        F.coalesce(F.nullif("datatable.next_cursor_id", F.lit("")), F.nullif("next_cursor_id", F.lit(""))).alias("next_cursor_id"),
         redact_parameters(params).alias("query_parameters"),
         landed.alias("landed_at"),
     ).where(F.col("asset_id") != "")
     order = [F.desc("landed_at"), F.desc(F.size("rows")), F.desc("next_cursor_id")]
-    return top_versions(normal, ["asset_id", "page_number"], order).drop("landed_at")
+    return top_versions(normal, ["asset_id", "page_number"], order)
 
 
-def reached_pages(
-    pages: DataFrame, max_pages: int = fixed.MAX_PAGES, max_rows: int | None = fixed.MAX_ROWS
-) -> DataFrame:
-    """The pages a cursor walk visits: it stops at the row cap and at a page without a cursor.
+def _bound(name: str, value: int | None) -> int | None:
+    """A bound of the walk: None for no bound, else a positive whole number."""
+    if value is not None and (not isinstance(value, int) or isinstance(value, bool) or value < 1):
+        raise ValueError(f"{name} must be a positive whole number or None, not {value!r}")
+    return value
+
+
+def reached_pages(pages: DataFrame, max_pages: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """The pages a cursor walk visits: it stops at a page without a cursor, at the first number that does not follow
+    the one before it, and at the caps that are given.
 
-    Adds ``first_row``, the rows on earlier pages. At most ``max_pages`` pages per asset
-    enter the window.
+    Adds ``first_row``, the rows on earlier pages.
     """
-    window = Window.partitionBy("asset_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
-    ended = F.coalesce(F.max(F.col("next_cursor_id").isNull()).over(window), F.lit(False))
+    by_number = Window.partitionBy("asset_id").orderBy("page_number")
+    earlier = by_number.rowsBetween(Window.unboundedPreceding, -1)
+    if _bound("max_pages", max_pages) is not None:
+        pages = pages.where(F.col("page_number") <= max_pages)
     walked = (
-        pages.where(F.col("page_number") <= max_pages)
-        .withColumns({"first_row": F.coalesce(F.sum(F.size("rows")).over(window), F.lit(0)), "_ended": ended})
-        .where(~F.col("_ended"))
-        .drop("_ended")
+        pages.withColumns({
+            "first_row": F.coalesce(F.sum(F.size("rows")).over(earlier), F.lit(0)),
+            "_ended": F.coalesce(F.max(F.col("next_cursor_id").isNull()).over(earlier), F.lit(False)),
+            "_skipped": F.col("page_number") - F.row_number().over(by_number) - F.coalesce(F.min("page_number").over(earlier), "page_number") + 1,
+        })
+        .where(~F.col("_ended") & (F.col("_skipped") == 0))
+        .drop("_ended", "_skipped")
     )
-    return walked if max_rows is None else walked.where(F.col("first_row") < max_rows)
+    return walked if _bound("max_rows", max_rows) is None else walked.where(F.col("first_row") < max_rows)
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """One row per data row of each reached page, with its 0-based place on the page and in the walk."""
     return pages.select(
         "asset_id", "page_number", "columns", "attributes", "layout", "next_cursor_id", "query_parameters", "first_row",
-        F.posexplode("rows").alias("page_row_index", "row"),
+        "landed_at", F.posexplode("rows").alias("page_row_index", "row"),
     ).withColumn("row_index", (F.col("first_row") + F.col("page_row_index")).cast("int")).drop("first_row")
 
 
-def cap_rows(rows: DataFrame, max_rows: int | None = fixed.MAX_ROWS) -> DataFrame:
+def cap_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     """The first rows of each asset's walk; all of them for ``None``."""
-    return rows if max_rows is None else rows.where(F.col("row_index") < max_rows)
+    return rows if _bound("max_rows", max_rows) is None else rows.where(F.col("row_index") < max_rows)
 
 
 def _as_batch(rows: DataFrame, omit: Sequence[str], now: Column) -> DataFrame:
@@ -98,7 +109,7 @@ def _as_batch(rows: DataFrame, omit: Sequence[str], now: Column) -> DataFrame:
         "system_date": now,
         "attributes": F.when(F.size(attributes) > 0, attributes).otherwise(metric_keys(F.col("metrics"))),
         "ingest_id": ingest_id(
-            F.col("asset_id"), F.col("data_source_id"), F.col("business_date"), F.col("metrics"), F.col("provenance")
+            F.col("asset_id"), F.col("data_source_id"), F.col("business_date"), F.col("metrics"), F.col("provenance"), F.col("_landing")
         ),
         "deleted": F.lit(None).cast("boolean"),
     }).select(*schemas.FACTS.names, "asset_metadata", "source_metadata")
@@ -116,7 +127,7 @@ def display_texts(asset: Column, source: Column) -> tuple[Column, Column]:
     """Display name and description of an asset's feed."""
     return (
         F.concat(source["display_name"], F.lit(" ("), asset, F.lit(")")),
-        F.concat(source["description"], F.lit(" Ingested asset: "), asset, F.lit(".")),
+        F.concat(source["description"], F.lit(fixed.INGESTED_ASSET), asset, F.lit(".")),
     )
 
 
@@ -141,6 +152,7 @@ def vendor_batch(rows: DataFrame, omit: Sequence[str] = (), now: Column | None =
                 next_cursor_id=F.col("next_cursor_id"),
                 columns=F.col("columns"), captured_at=now,
             ).alias("provenance"),
+            F.col("landed_at").alias("_landing"),
             asset_metadata(F.col("asset_id"), F.col("_class")).alias("asset_metadata"),
             _source_metadata(display, description, drop_attributes(F.col("attributes"), omit)).alias("source_metadata"),
         )
@@ -155,18 +167,16 @@ def template_batch(assets: DataFrame, omit: Sequence[str] = (), now: Column | No
         F.struct(
             F.lit(day).cast("date").alias("day"),
             F.map_from_arrays(
-                F.array(*map(F.lit, fixed.TEMPLATE_METRICS)), F.array(*map(F.lit, values))
+                F.array(*map(F.lit, fixed.TEMPLATE_COLUMNS)), F.array(*map(F.lit, values))
             ).alias("metrics"),
         )
         for day, *values in fixed.TEMPLATE_ROWS
     ))
     cls = asset_class(F.col("asset_id"))
     source = F.col("_source")
-    attributes = F.array(*map(F.lit, [
-        "business_date", "open_price", "high_price", "low_price", "close_price", "volume",
-        "current_price", "adjusted_close_price", "quoted_price",
-    ]))
-    display = F.concat(source["display_name"], F.lit(" Fallback"))
+    attributes = F.array(*map(F.lit, fixed.TEMPLATE_ATTRIBUTES))
+    display = F.concat(source["display_name"], F.lit(fixed.TEMPLATE_NAME))
+    before, after = fixed.TEMPLATE_DESCRIPTION
     described = (
         assets.select(symbol(F.col("asset_id")).alias("asset_id"))
         .withColumns({"_class": cls, "_source": provider(cls)})
@@ -181,10 +191,11 @@ def template_batch(assets: DataFrame, omit: Sequence[str] = (), now: Column | No
                 row_index=F.col("_row_index"),
                 columns=F.array(*map(F.lit, fixed.TEMPLATE_COLUMNS)), captured_at=now,
             ).alias("provenance"),
+            F.lit(None).cast("timestamp").alias("_landing"),  # the template is always the same
             asset_metadata(F.col("asset_id"), F.col("_class")).alias("asset_metadata"),
             _source_metadata(
                 F.concat(display, F.lit(" ("), F.col("asset_id"), F.lit(")")),
-                F.concat(F.lit("Fallback sample data for the "), source["display_name"], F.lit(" ingestion pipeline.")),
+                F.concat(F.lit(before), source["display_name"], F.lit(after)),
                 drop_attributes(attributes, omit),
             ).alias("source_metadata"),
         )
@@ -205,12 +216,13 @@ def without_data(requested: DataFrame, reached: DataFrame) -> DataFrame:
 
 def ingest_batch(
     pages: DataFrame, requested: DataFrame | None = None, omit: Sequence[str] = (),
-    max_pages: int = fixed.MAX_PAGES, max_rows: int | None = fixed.MAX_ROWS,
+    max_pages: int | None = None, max_rows: int | None = None,
     fallback: bool = True, now: Column | None = None,
 ) -> DataFrame:
     """All facts of one ingest run: vendor rows, and template rows where the vendor gave none.
 
-    ``requested`` has asset_id; without it the assets of the pages are ingested.
+    ``requested`` has asset_id; without it the assets of the pages are ingested. All landed pages and rows of a walk
+    count unless a cap is given.
     """
     normal = normalise_pages(pages)
     if requested is None:

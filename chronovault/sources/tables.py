@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.identity import sorted_map
 from ..functions.text import iso_instant
 from ..operators.filters import business_range
 from ..operators.versions import top_versions
 
 
+_KEY = ["asset_id", "data_source_id", "business_date"]
+#: the file that names a table's current version, and how the versions' folders begin
+_POINTER, _VERSION = "_current", "version-"
+
+
 def _month(day):
     return F.trunc(day, "month")
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A Parquet table in a known schema; empty if nothing has been written yet."""
+    """A Parquet table in a known schema, in its current version; empty if nothing has been written yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(current_version(spark, path) or path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -73,8 +81,25 @@ def stored_layout(rows: DataFrame) -> DataFrame:
     return balanced.sortWithinPartitions("business_month", "asset_id", "business_date")
 
 
-def append_facts(spark: SparkSession, batch: DataFrame, path: str) -> None:
-    """Insert-if-absent. Only the months the batch touches are compared: the id covers the date."""
+def changed_facts(fresh: DataFrame, existing: DataFrame) -> DataFrame:
+    """The fresh rows that say something else than the version before them in system time, stored or fresh.
+
+    A value that was given, replaced and given again is kept: it differs from its predecessor.
+    """
+    content = F.xxhash64(F.to_json(F.struct(sorted_map(F.col("metrics")).alias("m"), F.coalesce("deleted", F.lit(False)).alias("d"))))
+    narrow = fresh.select(*_KEY, "system_date", "ingest_id", content.alias("_content"), F.lit(True).alias("_fresh"))
+    before = existing.select(*_KEY, "system_date", "ingest_id", content.alias("_content"), F.lit(False).alias("_fresh"))
+    window = Window.partitionBy(*_KEY).orderBy("system_date", "ingest_id")
+    judged = narrow.unionByName(before).withColumn("_before", F.lag("_content").over(window))
+    same = judged.where(F.col("_fresh") & (F.col("_before") == F.col("_content"))).select("ingest_id")
+    return fresh.join(same, "ingest_id", "left_anti").select(*fresh.columns)
+
+
+def append_facts(spark: SparkSession, batch: DataFrame, path: str, skip_unchanged: bool = False) -> None:
+    """Insert-if-absent. Only the months the batch touches are compared: the id covers the date.
+
+    With ``skip_unchanged`` a row that repeats the version before it is left out as well.
+    """
     rows = require_ingest_id(batch.select(*schemas.FACTS.names))
     # one value per calendar month, so what reaches the driver is bounded by the calendar
     months = [r[0] for r in rows.select(_month("business_date")).distinct().collect()]
@@ -82,16 +107,70 @@ def append_facts(spark: SparkSession, batch: DataFrame, path: str) -> None:
     month = F.col("business_month")
     touched = month.isin([m for m in months if m is not None])
     existing = stored.where(touched | month.isNull() if None in months else touched)
-    stored_layout(to_stored(new_facts(rows, existing))).write.mode("append").partitionBy("business_month").parquet(path)
+    fresh = new_facts(rows, existing)
+    if skip_unchanged:
+        fresh = changed_facts(fresh, existing)
+    stored_layout(to_stored(fresh)).write.mode("append").partitionBy("business_month").parquet(path)
+
+
+def _file_context(spark: SparkSession, path: str):
+    """Hadoop's file context and path for a table: the store that Spark itself writes to."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()), at
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds the table now, or None if it was never replaced."""
+    context, at = _file_context(spark, path)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(at, _POINTER)
+    if not context.util().exists(pointer):
+        return None
+    stream = context.open(pointer)
+    try:
+        return f"{path.rstrip('/')}/{stream.readUTF()}"
+    finally:
+        stream.close()
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Makes the version the current one by a rename, which is whole or not at all."""
+    jvm = spark._jvm
+    context, at = _file_context(spark, path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fresh = jvm.org.apache.hadoop.fs.Path(at, f"_pointer-{version}")
+    stream = fs.create(fresh, True)
+    try:
+        stream.writeUTF(version)
+    finally:
+        stream.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(at, _POINTER), options)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a derived table. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a derived table: a new version folder, complete before a pointer is switched to it.
+
+    A failed write leaves the old table as it is. The version before the current one is kept, for readers that
+    have begun on it; older ones are removed. ``df`` may read from ``path``.
+    """
+    spark, version = df.sparkSession, f"{_VERSION}{uuid.uuid4().hex}"
+    before = current_version(spark, path)
+    df.write.parquet(f"{path.rstrip('/')}/{version}")
+    _point_to(spark, path, version)
+    _, at = _file_context(spark, path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    kept = {version, (before or "").rsplit("/", 1)[-1]}
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith(_VERSION) and name not in kept:
+            fs.delete(status.getPath(), True)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Adds rows to the table's current version."""
+    df.write.mode("append").parquet(current_version(df.sparkSession, path) or path)
 
 
 def migrate_system_dates(legacy: DataFrame) -> DataFrame:

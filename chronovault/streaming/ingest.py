@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from .. import schemas
 from ..operators.statistics import yearly_totals
-from ..plans.runs import store_batch
-from ..sources.tables import append_facts
+from ..plans.runs import store_batch, table_paths
+from ..sources.tables import append_facts, read_facts, read_table, replace_table
 
 
 def dedupe_stream(facts: DataFrame, delay: str | None = None) -> DataFrame:
@@ -29,9 +31,11 @@ def _each_batch(stream: DataFrame, write: Callable[[DataFrame], None], checkpoin
     def stored(batch: DataFrame, _: int) -> None:
         # the sinks read the batch several times; a lost block is recomputed from the source
         batch.persist()
-        if not batch.isEmpty():  # a micro-batch may only move the watermark
-            write(batch)
-        batch.unpersist()
+        try:
+            if not batch.isEmpty():  # a micro-batch may only move the watermark
+                write(batch)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(stored)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -54,11 +58,25 @@ def stream_batches(
     return _each_batch(dedupe_stream(batches, delay), lambda b: store_batch(spark, b, root), checkpoint, **trigger)
 
 
-def stream_totals(facts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keeps the totals table at ``path`` equal to the batch result; the state is one row per (asset, year)."""
+def stream_totals(spark: SparkSession, facts: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Stores a stream of facts below ``root`` and keeps the stored totals equal to the totals of the stored facts.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    writer = yearly_totals(facts).writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(replace).trigger(**(trigger or {"availableNow": True})).start()
+    A micro-batch renews the (asset, year) totals it touches from the store, so a fact that is delivered twice counts once
+    and a micro-batch that is retried changes nothing.
+    """
+    paths = table_paths(root)
+
+    def renew(batch: DataFrame) -> None:
+        append_facts(spark, batch, paths["facts"])
+        touched = batch.select("asset_id", F.year("business_date").alias("business_date_year")).where("business_date_year IS NOT NULL").distinct()
+        # one value per calendar year
+        years = sorted(r[0] for r in touched.select("business_date_year").distinct().collect())
+        if not years:
+            return
+        stored = read_facts(spark, paths["facts"], f"{years[0]}-01-01", f"{years[-1]}-12-31")
+        stored = stored.withColumn("business_date_year", F.year("business_date")).join(touched, ["asset_id", "business_date_year"], "left_semi")
+        fresh = yearly_totals(stored.drop("business_date_year"))
+        kept = read_table(spark, paths["totals"], schemas.TOTALS).join(touched, ["asset_id", "business_date_year"], "left_anti")
+        replace_table(kept.select(*schemas.TOTALS.names).unionByName(fresh), paths["totals"])
+
+    return _each_batch(facts, renew, checkpoint, **trigger)

@@ -86,11 +86,27 @@ def cat10(spark, sf):
     )
 
 
-@query("cat11_instrument_indicators", indicators_sql("LIMIT 100"))
+@query("cat11_instrument_indicators", indicators_sql())
 def cat11(spark, sf):
     return shown_indicators(catalog.instrument_indicators(v.facts(spark, sf), v.sources(spark, sf)))
 
 
+@query("cat11_first_indicators", indicators_sql("LIMIT 100"))
+def cat11_first(spark, sf):
+    return shown_indicators(catalog.instrument_indicators(v.facts(spark, sf), v.sources(spark, sf), limit=100))
+
+
+@query("cat2_one_asset", oracle("facts", "assets", body="""
+    SELECT asset_id, ingest_id, business_date, system_date, close_price, asset_type, description AS asset_description,
+           instrument_class FROM facts JOIN assets USING (asset_id) WHERE asset_id = 'U7'"""))
+def cat2_one(spark, sf):
+    history = catalog.asset_history(v.assets(spark, sf), v.facts(spark, sf), "U7")
+    return history.select(
+        "asset_id", "ingest_id", "business_date", F.col("system_date").cast("timestamp_ntz").alias("system_date"),
+        "close_price", "asset_type", "asset_description", "instrument_class",
+    )
+
+
 @query("cat12_analytics_summary", ORACLES["agg1_yearly_totals"])
 def cat12(spark, sf):
     return catalog.analytics_summary(rounded_totals(statistics.yearly_totals(v.facts_l(spark, sf))))

@@ -119,9 +119,9 @@ def str7(spark, sf):
 
 
 def legacy_dates(spark, sf):
-    """Events with their time as text in six forms, one of them unreadable."""
+    """Events with their time as text in ten forms, one of them unreadable."""
     at = F.col("ts").cast("timestamp")
-    form = F.col("event_id") % 6
+    form = F.col("event_id") % 10
     stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
     return events(spark, sf).select(
         "event_id",
@@ -130,14 +130,20 @@ def legacy_dates(spark, sf):
         .when(form == 2, F.concat(stamp, F.lit(".250Z")))
         .when(form == 3, F.date_format(at, "yyyy-MM-dd"))
         .when(form == 4, F.concat(F.lit("  "), F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit(" ")))
+        .when(form == 5, F.date_format(at, "yyyy-MM-dd'T'HH"))
+        .when(form == 6, F.date_format(at, "yyyyMMdd'T'HHmmss"))
+        .when(form == 7, F.date_format(at, "yyyy-MM-dd't'HH:mm:ss"))
+        .when(form == 8, F.concat(F.date_format(at, "yyyyMMdd'T'HHmm"), F.lit("-0130")))
         .otherwise(F.concat(F.lit("about "), stamp)).alias("system_date"),
     )
 
 
-LEGACY_SQL = """SELECT event_id, CASE event_id % 6
+LEGACY_SQL = """SELECT event_id, CASE event_id % 10
         WHEN 1 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
         WHEN 3 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
-        WHEN 5 THEN NULL ELSE date_trunc('second', ts) END AS system_date FROM events"""
+        WHEN 5 THEN date_trunc('hour', ts)
+        WHEN 8 THEN date_trunc('minute', ts) + INTERVAL 90 MINUTE
+        WHEN 9 THEN NULL ELSE date_trunc('second', ts) END AS system_date FROM events"""
 
 
 @query("str8_iso_normalise", LEGACY_SQL)
@@ -163,9 +169,8 @@ def str10(spark, sf):
 _ID_JSON = """'{"asset_id":"U' || user_id || '","business_date":"' || CAST(ts AS DATE) || '","data_source_id":"S' || (event_id % 3) * 60
     || '","metrics":{' || CASE WHEN event_type = 'error' THEN '' ELSE '"close_price":' || value || ',"volume":'
         || CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS VARCHAR) END
-    || '},"provenance":{"source_name":"feed","source_url":null,"query_parameters":{"rows":"100"},"page_number":null,'
-    || '"page_row_index":null,"row_index":' || event_id % 100 || ',"next_cursor_id":null,"columns":["date","close"],'
-    || '"note":null,"reason":null,"source":null}}'"""
+    || '},"provenance":{"source_name":"feed","source_url":null,"columns":["date","close"],"note":null,"reason":null,"source":null},'
+    || '"landing":' || epoch_us(date_trunc('second', ts)) || '}'"""
 
 
 @query("str11_ingest_id", f"SELECT event_id, sha256({_ID_JSON}) AS ingest_id FROM events")
@@ -177,7 +182,7 @@ def str11(spark, sf):
     )
     rows = v.facts(spark, sf).withColumn("provenance", described)
     parts = ("asset_id", "data_source_id", "business_date", "metrics", "provenance")
-    return rows.select("event_id", identity.ingest_id(*(F.col(c) for c in parts)).alias("ingest_id"))
+    return rows.select("event_id", identity.ingest_id(*(F.col(c) for c in parts), F.col("system_date")).alias("ingest_id"))
 
 
 @query("str12_display", f"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..plans import runs
+from ..session import scratch_path
 from ..sources import pages as p
 from . import views as v
 from .registry import query
@@ -30,22 +32,24 @@ def pages(spark, sf):
             F.when(F.col("event_type") != "error", F.array(row, earlier)).alias("data"),
         ).alias("dataset"),
         F.lit(None).cast("struct<next_cursor_id:string>").alias("datatable"),
-        F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("c"), F.col("event_id").cast("string"))).alias("next_cursor_id"),
+        F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("c"), F.col("event_id").cast("string")))
+        .when(F.col("event_id") % 8 == 0, F.lit("")).alias("next_cursor_id"),
         F.create_map(F.lit("rows"), F.lit("100"), F.lit("API_KEY"), F.lit("secret")).alias("query_parameters"),
         F.col("ts").cast("timestamp").alias("landed_at"),
     )
 
 
-def _walk_sql(max_pages: int, max_rows: int) -> str:
+def _walk_sql(max_pages: int = 10**9, max_rows: int = 10**9) -> str:
     return f"""WITH landed AS (
         SELECT * FROM (SELECT *, 'U' || user_id AS asset_id, event_id % 7 + 1 AS page_number,
                CASE WHEN event_type = 'error' THEN 0 ELSE 2 END AS n,
                row_number() OVER (PARTITION BY user_id, event_id % 7 ORDER BY ts DESC, (event_type = 'error'), event_id % 4 = 0) AS c
         FROM events) WHERE c = 1 AND page_number <= {max_pages}),
     walked AS (SELECT * FROM (
-        SELECT *, coalesce(sum(n) OVER w, 0) AS first_row, coalesce(bool_or(event_id % 4 = 0) OVER w, FALSE) AS ended
+        SELECT *, coalesce(sum(n) OVER w, 0) AS first_row, coalesce(bool_or(event_id % 4 = 0) OVER w, FALSE) AS ended,
+               page_number - row_number() OVER (PARTITION BY asset_id ORDER BY page_number) = min(page_number) OVER (PARTITION BY asset_id) - 1 AS follows
         FROM landed WINDOW w AS (PARTITION BY asset_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-        WHERE NOT ended AND first_row < {max_rows}),
+        WHERE NOT ended AND follows AND first_row < {max_rows}),
     data_rows AS (
         SELECT asset_id, page_number, i AS page_row_index, first_row + i AS row_index, event_id,
                CAST(ts AS DATE) - CAST(i AS INTEGER) AS business_date, CASE i WHEN 0 THEN value ELSE value * 2 END AS close_price,
@@ -68,19 +72,19 @@ def _shown(rows):
     )
 
 
-@query("src1_pages_explode", _walk_sql(7, 10**9) + f" SELECT {_ROW} FROM data_rows")
+@query("src1_pages_explode", _walk_sql() + f" SELECT {_ROW} FROM data_rows")
 def src1(spark, sf):
-    return _shown(p.page_rows(p.reached_pages(p.normalise_pages(pages(spark, sf)), max_pages=7, max_rows=None)))
+    return _shown(p.page_rows(p.reached_pages(p.normalise_pages(pages(spark, sf)))))
 
 
 @query("src2_row_cap", _walk_sql(fixed.MAX_PAGES, fixed.MAX_ROWS) + f" SELECT {_ROW} FROM capped")
 def src2(spark, sf):
-    return _shown(p.cap_rows(p.page_rows(p.reached_pages(p.normalise_pages(pages(spark, sf))))))
+    reached = p.reached_pages(p.normalise_pages(pages(spark, sf)), fixed.MAX_PAGES, fixed.MAX_ROWS)
+    return _shown(p.cap_rows(p.page_rows(reached), fixed.MAX_ROWS))
 
 
-_TEMPLATE = ", ".join(
-    f"(DATE '{day}', {o}, {close}, {volume})" for day, o, _, _, close, volume in fixed.TEMPLATE_ROWS
-)
+_TEMPLATE = """(DATE '2026-06-05', 98500.0, 99200.0, 34500.0), (DATE '2026-06-04', 97200.0, 98450.0, 29800.0),
+        (DATE '2026-06-03', 96100.0, 97150.0, 41200.0)"""
 
 
 def _requested(spark, sf):
@@ -112,15 +116,29 @@ _TEMPLATE_ROWS = f"""SELECT asset_id, 'NASDAQ-DATA-LINK.EOD', d, CAST(o AS DOUBL
     FROM requested, (VALUES {_TEMPLATE}) t(d, o, c, vol) WHERE asset_id NOT IN (SELECT asset_id FROM usable)"""
 
 
-@query("src3_fallback_rows", _walk_sql(fixed.MAX_PAGES, fixed.MAX_ROWS) + _VENDOR_ROWS.replace("close_price, volume, close_price AS", "close_price, CAST(NULL AS DOUBLE) AS volume, close_price AS", 1).replace("business_date,close_price,volume", "business_date,close_price") + " UNION ALL " + _TEMPLATE_ROWS)
+@query("src3_fallback_rows", _walk_sql() + _VENDOR_ROWS.replace("close_price, volume, close_price AS", "close_price, CAST(NULL AS DOUBLE) AS volume, close_price AS", 1).replace("business_date,close_price,volume", "business_date,close_price") + " UNION ALL " + _TEMPLATE_ROWS)
 def src3(spark, sf):
     return _flat(_batch(spark, sf, omit=["volume"]))
 
 
-@query("src5_ingest_status", _walk_sql(fixed.MAX_PAGES, fixed.MAX_ROWS) + """
+@query("src5_ingest_status", _walk_sql() + """
     SELECT r.asset_id, CASE WHEN COUNT(u.asset_id) > 0 THEN 'ingested' ELSE 'error' END AS status,
            CAST(COUNT(u.asset_id) AS BIGINT) AS "rows"
     FROM requested r LEFT JOIN (SELECT * FROM capped WHERE asset_id IN (SELECT asset_id FROM usable)) u ON u.asset_id = r.asset_id
     GROUP BY 1""")
 def src5(spark, sf):
     return p.ingest_status(_requested(spark, sf), _batch(spark, sf, fallback=False))
+
+
+@query("src6_run_ingest", _walk_sql() + f""",
+    stored AS (SELECT asset_id, business_date, close_price, volume FROM capped
+               WHERE asset_id IN (SELECT asset_id FROM usable) AND asset_id IN (SELECT asset_id FROM requested)
+               UNION ALL SELECT asset_id, d, CAST(c AS DOUBLE), CAST(vol AS DOUBLE) FROM requested, (VALUES {_TEMPLATE}) t(d, o, c, vol)
+               WHERE asset_id NOT IN (SELECT asset_id FROM usable))
+    SELECT DISTINCT asset_id, business_date, close_price, volume FROM stored""")
+def src6(spark, sf):
+    """All pages through the public run, twice; what is stored says what the walk reached."""
+    root = scratch_path(spark, "warehouse")
+    for _ in range(2):
+        runs.run_ingest(spark, pages(spark, sf), _requested(spark, sf), root)
+    return runs.read_facts(spark, runs.table_paths(root)["facts"]).select("asset_id", "business_date", "close_price", "volume").distinct()

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
+from .. import schemas
+from ..functions.identity import ingest_id
+from ..functions.metrics import provenance
 from ..functions.text import symbol
 from ..operators import deletes, dimensions
-from ..session import scratch_path
 from ..operators.statistics import yearly_totals
+from ..operators.versions import latest_versions
+from ..plans import runs
+from ..session import scratch_path
 from ..sources import tables
 from . import views as v
 from .aggregates import rounded_totals
@@ -207,6 +214,64 @@ def snk11(spark, sf):
     return tables.export_summary(v.facts(spark, sf), "2024-01-25", 20)
 
 
+@query("snk11_export_rows", oracle("facts", body="""
+    SELECT asset_id, business_date, system_date, ingest_id, close_price FROM facts
+    WHERE business_date BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'"""))
+def snk11_rows(spark, sf):
+    rows = tables.export_window(v.facts(spark, sf), "2024-01-25", 20)
+    return rows.select("asset_id", "business_date", ntz("system_date"), "ingest_id", "close_price")
+
+
+def _price_day(spark, sf):
+    """One price for each (asset, date) with any, as keys of a source."""
+    priced = v.facts(spark, sf).where(F.col("close_price").isNotNull())
+    return priced.groupBy("asset_id", "business_date").agg(F.max("close_price").alias("close_price")).withColumn("data_source_id", F.lit("S"))
+
+
+def _landing(prices, hour, change):
+    """The prices as facts of a landing at an hour of 2024-02-01, changed by an amount."""
+    at = F.lit(f"2024-02-01 {hour:02d}:00:00").cast("timestamp")
+    metrics = F.create_map(F.lit("close_price"), F.col("close_price") + change)
+    described = prices.withColumns({"metrics": metrics, "provenance": provenance(source_name=F.lit("feed"), row_index=F.lit(hour), captured_at=at)})
+    return described.withColumns({
+        "system_date": at, "attributes": F.array(F.lit("close_price")), "deleted": F.lit(None).cast("boolean"),
+        "ingest_id": ingest_id(*(F.col(c) for c in ("asset_id", "data_source_id", "business_date", "metrics", "provenance")), at),
+    }).select(*schemas.FACTS.names)
+
+
+_PRICES = "priced AS (SELECT asset_id, business_date, max(close_price) AS close_price FROM facts WHERE close_price IS NOT NULL GROUP BY 1, 2)"
+
+
+@query("snk1_reverted_price", oracle("facts", body=f"""
+    , {_PRICES} SELECT asset_id, business_date, close_price, CAST(3 AS BIGINT) AS versions FROM priced"""))
+def snk1_reverted(spark, sf):
+    """A price, another one, the first one again, each landed twice, then landed unchanged: three versions, the first price is the latest."""
+    path, prices = scratch_path(spark, "facts"), _price_day(spark, sf)
+    for hour, change in ((1, 0.0), (2, 5.0), (2, 5.0), (3, 0.0), (3, 0.0), (4, 0.0)):
+        tables.append_facts(spark, _landing(prices, hour, change), path, skip_unchanged=True)
+    stored = tables.read_facts(spark, path)
+    counts = stored.groupBy("asset_id", "business_date").agg(F.count("*").alias("versions"))
+    latest = latest_versions(stored).select("asset_id", "business_date", "close_price")
+    return latest.join(counts, ["asset_id", "business_date"])
+
+
+@query("snk5_delete_twice", oracle("facts", body=f"""
+    , {_PRICES} SELECT asset_id, business_date, CAST(2 AS BIGINT) AS markers, FALSE AS visible FROM priced"""))
+def snk5_twice(spark, sf):
+    """A price is stored, deleted, stored anew and deleted again, through the store."""
+    root, prices = scratch_path(spark, "warehouse"), _price_day(spark, sf)
+    path = runs.table_paths(root)["facts"]
+    for hour in (1, 3):
+        tables.append_facts(spark, _landing(prices, hour, float(hour)), path)
+        runs.mark_rows_deleted(spark, root, prices, datetime(2024, 2, 1, hour + 1, tzinfo=timezone.utc))
+    stored = tables.read_facts(spark, path)
+    visible = latest_versions(stored, tombstones="apply").select("asset_id", "business_date", F.lit(True).alias("_seen"))
+    counts = stored.groupBy("asset_id", "business_date").agg(F.count(F.when(F.col("deleted"), 1)).alias("markers"))
+    return counts.join(visible, ["asset_id", "business_date"], "left").select(
+        "asset_id", "business_date", "markers", F.coalesce("_seen", F.lit(False)).alias("visible")
+    )
+
+
 @query("set1_union", oracle("facts_l", "assets_l", body="""
     SELECT asset_id FROM facts_l UNION SELECT asset_id FROM assets_l"""))
 def set1(spark, sf):

@@ -84,6 +84,20 @@ def tool_series(spark, sf):
 query("win4_tool_series", WIN4_SQL)(tool_series)
 
 
+@query("win4_tool_series_newest", oracle("facts", body=f"""
+    SELECT {_COLUMNS} FROM (
+        SELECT *, row_number() OVER (PARTITION BY asset_id, data_source_id ORDER BY business_date DESC) AS place FROM (
+            SELECT *, row_number() OVER (PARTITION BY asset_id, data_source_id, business_date ORDER BY {_NEWEST}) AS r FROM facts)
+        WHERE r = 1) WHERE place <= 2"""))
+def win4_newest(spark, sf):
+    return shown(versions.tool_series(v.facts(spark, sf), limit=2))
+
+
+@query("win6_one_history", oracle("facts", body=f"SELECT {_COLUMNS} FROM facts WHERE asset_id = 'U7' AND data_source_id = 'S60'"))
+def win6_one(spark, sf):
+    return shown(versions.find_all(v.facts(spark, sf), "U7", "S60"))
+
+
 @query("win5_find_latest", latest_sql("facts", "asset_id, data_source_id"))
 def win5(spark, sf):
     return shown(versions.find_latest(v.facts(spark, sf)))
@@ -129,16 +143,31 @@ def tso5(spark, sf):
 _LATEST_DAY = f"business_date DESC, {_NEWEST}"
 
 
-@query("tso6_asset_lineage", latest_sql("facts", "asset_id", order=_LATEST_DAY, k=200))
+@query("tso6_asset_lineage", oracle("facts", body=f"SELECT {_COLUMNS} FROM facts"))
 def tso6(spark, sf):
     return shown(versions.asset_lineage(v.facts(spark, sf)))
 
 
-@query("tso7_source_lineage", latest_sql("facts", "data_source_id", order=_LATEST_DAY, k=200))
+@query("tso6_asset_lineage_newest", latest_sql("facts", "asset_id", order=_LATEST_DAY, k=3))
+def tso6_newest(spark, sf):
+    return shown(versions.asset_lineage(v.facts(spark, sf), limit=3))
+
+
+@query("tso6_one_asset", latest_sql("facts", "asset_id", "asset_id = 'U7'", order=_LATEST_DAY, k=5))
+def tso6_one(spark, sf):
+    return shown(versions.asset_lineage(v.facts(spark, sf), "U7", limit=5))
+
+
+@query("tso7_source_lineage", oracle("facts", body=f"SELECT {_COLUMNS} FROM facts"))
 def tso7(spark, sf):
     return shown(versions.source_lineage(v.facts(spark, sf)))
 
 
+@query("tso7_source_lineage_newest", latest_sql("facts", "data_source_id", order=_LATEST_DAY, k=200))
+def tso7_newest(spark, sf):
+    return shown(versions.source_lineage(v.facts(spark, sf), limit=200))
+
+
 @query("srt2_topk", oracle("facts", body=f"""
     SELECT {_COLUMNS} FROM facts ORDER BY {_LATEST_DAY}, asset_id LIMIT 100"""))
 def srt2(spark, sf):

@@ -4,8 +4,10 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from chronovault import schemas
 from chronovault.plans import runs
 from chronovault.sources import pages as p
+from chronovault.sources import tables
 from tests.helpers import day, metric, rows
 
 HEADER = ["Date", "Open", "Close", "Volume"]
@@ -42,18 +44,18 @@ def requested(spark):
 
 
 def test_walk_and_row_cap(spark, landed):
-    reached = p.reached_pages(p.normalise_pages(landed))
+    reached = p.reached_pages(p.normalise_pages(landed), max_rows=5)
     assert rows(reached, "asset_id", "page_number") == [
         ("AAPL", 1), ("AAPL", 2), ("BTCUSD", 1), ("BTCUSD", 2), ("CL=F", 1), ("MSFT", 1),
     ]
-    capped = p.cap_rows(p.page_rows(reached)).where("asset_id = 'BTCUSD'")
+    capped = p.cap_rows(p.page_rows(reached), 5).where("asset_id = 'BTCUSD'")
     assert rows(capped, "page_number", "page_row_index", "row_index") == [(1, 0, 0), (1, 1, 1), (1, 2, 2), (2, 0, 3), (2, 1, 4)]
-    everything = p.page_rows(p.reached_pages(p.normalise_pages(landed), max_rows=None)).where("asset_id = 'BTCUSD'")
+    everything = p.page_rows(p.reached_pages(p.normalise_pages(landed))).where("asset_id = 'BTCUSD'")
     assert everything.count() == 11
 
 
 def test_batch(spark, landed):
-    batch = p.ingest_batch(landed, requested(spark))
+    batch = p.ingest_batch(landed, requested(spark), max_pages=5, max_rows=5)
     counts = dict(rows(batch.groupBy("asset_id").count()))
     assert counts == {"BTCUSD": 5, "CL=F": 2, "MSFT": 1, "AAPL": 3, "NEWCO": 3}
     first = batch.where("asset_id = 'BTCUSD' and provenance.row_index = 0").collect()[0]
@@ -90,7 +92,7 @@ def test_omit_applies_to_metrics_and_attributes(spark, landed):
 
 def test_status(spark, landed):
     asked = runs.asset_frame(spark, [" btcusd ", "AAPL", "NEWCO", " "])
-    status = p.ingest_status(asked, p.ingest_batch(landed, asked, fallback=False))
+    status = p.ingest_status(asked, p.ingest_batch(landed, asked, fallback=False, max_rows=5))
     assert rows(status) == [("AAPL", "error", 0), ("BTCUSD", "ingested", 5), ("NEWCO", "error", 0)]
 
 
@@ -115,7 +117,7 @@ def test_run_ingest_twice_stores_once_and_feeds_analytics(spark, landed, tmp_pat
     root = str(tmp_path / "warehouse")
     asked = runs.asset_frame(spark, ["BTCUSD", "NEWCO"])
     for _ in range(2):
-        status = runs.run_ingest(spark, landed, asked, root)
+        status = runs.run_ingest(spark, landed, asked, root, max_rows=5)
         assert rows(status) == [("BTCUSD", "ingested", 5), ("NEWCO", "ingested", 3)]
     paths = runs.table_paths(root)
     facts = runs.read_facts(spark, paths["facts"])
@@ -139,7 +141,7 @@ def test_backfill_delete_and_analytics_on_the_store(spark, landed, tmp_path):
     empty_totals, empty_trends = runs.run_analytics(spark, root)
     assert empty_totals.count() == empty_trends.count() == 0
     asked = runs.asset_frame(spark, ["BTCUSD"])
-    runs.run_ingest(spark, landed, asked, root)
+    runs.run_ingest(spark, landed, asked, root, max_rows=5)
     for expected in (("BTCUSD", "ok", 2), ("BTCUSD", "noop", 0)):
         assert rows(runs.run_backfill(spark, root, asked, "2026-05-04", "2026-05-07")) == [expected]
     facts = runs.read_facts(spark, runs.table_paths(root)["facts"])
@@ -158,11 +160,36 @@ def test_backfill_delete_and_analytics_on_the_store(spark, landed, tmp_path):
     before = rows(runs.read_assets(spark, root)), rows(runs.read_sources(spark, root))
     runs.compact_dimensions(spark, root)
     assert (rows(runs.read_assets(spark, root)), rows(runs.read_sources(spark, root))) == before
-    assert spark.read.parquet(runs.table_paths(root)["asset_changes"]).count() == 1
+    assert tables.read_table(spark, runs.table_paths(root)["asset_changes"], schemas.ASSETS).count() == 1
     totals, trends = runs.run_analytics(spark, root, predictive=False)
     assert rows(totals, "asset_id", "record_count") == [("BTCUSD", 7)] and trends.count() == 0
 
 
 def test_without_a_request_all_supported_assets_are_ingested(spark, landed, tmp_path):
-    status = runs.run_ingest(spark, landed, None, str(tmp_path / "warehouse"))
+    status = runs.run_ingest(spark, landed, None, str(tmp_path / "warehouse"), max_rows=5)
     assert rows(status.groupBy("status").agg(F.count("*"), F.sum("rows"))) == [("ingested", 20, 5 + 2 + 1 + 17 * 3)]
+
+
+def test_all_landed_rows_count_without_a_cap(spark, landed):
+    batch = p.ingest_batch(landed, requested(spark), max_pages=None)
+    assert dict(rows(batch.groupBy("asset_id").count())) == {"BTCUSD": 11, "CL=F": 2, "MSFT": 1, "AAPL": 3, "NEWCO": 3}
+    assert batch.where("asset_id = 'BTCUSD' AND source_metadata.display_name LIKE '%Fallback%'").isEmpty()
+    for bad in (0, -1, True, 2.5):
+        with pytest.raises(ValueError):
+            p.ingest_batch(landed, requested(spark), max_pages=bad)
+
+
+def test_the_walk_stops_at_an_empty_cursor_and_at_a_hole(spark, tmp_path):
+    for symbol, number, cursor in (("A", 1, "c"), ("A", 3, "c"), ("B", 1, ""), ("B", 2, "c"), ("C", 1, "c"), ("C", 2, "c"), ("C", 4, "c")):
+        land(tmp_path / "landing", symbol, number, price_rows(number, 1), cursor)
+    reached = p.reached_pages(p.normalise_pages(p.read_pages(spark, str(tmp_path / "landing"))))
+    assert rows(reached, "asset_id", "page_number") == [("A", 1), ("B", 1), ("C", 1), ("C", 2)]
+
+
+def test_an_unchanged_row_at_another_place_is_no_version(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    asked = runs.asset_frame(spark, ["A"])
+    for n, data in enumerate((price_rows(1, 2), price_rows(1, 2)[::-1] + price_rows(3, 1))):
+        land(tmp_path / f"landing{n}", "A", 1, data)
+        runs.run_ingest(spark, p.read_pages(spark, str(tmp_path / f"landing{n}")), asked, root)
+    assert runs.read_facts(spark, runs.table_paths(root)["facts"]).count() == 3

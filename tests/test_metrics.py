@@ -56,12 +56,14 @@ def test_attribute_lists(spark):
     assert value(spark, m.metric_keys(metric_map(b=1.0, a=2.0))) == ["a", "b"]
 
 
-def test_ingest_id_ignores_capture_time_and_key_order_but_sees_nulls(spark):
-    def identity(metrics, **prov):
-        return value(spark, ingest_id(F.lit("A"), F.lit("S"), F.lit("2024-01-01").cast("date"), metrics, m.provenance(**prov)))
+def test_ingest_id_ignores_place_and_capture_time_but_sees_nulls_and_landings(spark):
+    def identity(metrics, landing=None, **prov):
+        return value(spark, ingest_id(F.lit("A"), F.lit("S"), F.lit("2024-01-01").cast("date"), metrics, m.provenance(**prov), landing))
 
     base = identity(metric_map(a=1.0, b=2.0), captured_at=F.lit("2024-01-01").cast("timestamp"))
     assert len(base) == 64
     assert base == identity(metric_map(b=2.0, a=1.0), captured_at=F.lit("2025-01-01").cast("timestamp"))
-    assert base != identity(metric_map(a=1.0, b=2.0), row_index=F.lit(1))
+    assert base == identity(metric_map(a=1.0, b=2.0), row_index=F.lit(1), page_number=F.lit(3))
+    assert base != identity(metric_map(a=1.0, b=2.0), F.lit("2024-01-01").cast("timestamp"))
+    assert base != identity(metric_map(a=1.0, b=2.0), note=F.lit("x"))
     assert identity(metric_map(a=None)) != identity(metric_map())

@@ -14,7 +14,7 @@ from tests.helpers import day, facts, in_order, metric, rows
 def template(spark):
     return facts(spark, [
         ("BTCUSD", "S", bd, "2026-06-10", {"open_price": o, "close_price": c}, bd)
-        for bd, o, _, _, c, _ in fixed.TEMPLATE_ROWS
+        for bd, o, c, _, _, _ in fixed.TEMPLATE_ROWS
     ])
 
 

@@ -37,9 +37,22 @@ def test_totals_follow_the_stream(spark, tmp_path):
     for batch in (FIRST, LATE):
         facts(spark, batch).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schemas.FACTS).parquet(source)
-        ingest.stream_totals(stream, target, checkpoint).awaitTermination()
-        whole = yearly_totals(spark.read.schema(schemas.FACTS).parquet(source))
-        assert rows(spark.read.parquet(target)) == rows(whole)
+        ingest.stream_totals(spark, stream, target, checkpoint).awaitTermination()
+        whole = yearly_totals(spark.read.schema(schemas.FACTS).parquet(source).dropDuplicates(["ingest_id"]))
+        assert rows(tables.read_table(spark, runs.table_paths(target)["totals"], schemas.TOTALS)) == rows(whole)
+
+
+def test_a_failing_sink_lets_the_batch_go(spark, tmp_path):
+    facts(spark, FIRST).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schemas.FACTS).parquet(str(tmp_path / "in"))
+
+    def fail(_):
+        raise ValueError("sink")
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(Exception, match="sink"):
+        ingest._each_batch(stream, fail, str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_dimensions_follow_the_stream(spark, tmp_path):

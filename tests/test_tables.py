@@ -141,4 +141,30 @@ def test_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_table(spark.range(5), path)
     tables.replace_table(spark.range(2), path)
-    assert spark.read.parquet(path).count() == 2
+    read = lambda: rows(tables.read_table(spark, path, "id long"))
+    assert read() == [(0,), (1,)]
+    with pytest.raises(Exception, match="no more"):
+        tables.replace_table(spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no more"))).alias("id")), path)
+    assert read() == [(0,), (1,)]
+    tables.append_rows(spark.range(5, 6), path)
+    assert read() == [(0,), (1,), (5,)]
+    tables.replace_table(tables.read_table(spark, path, "id long").where("id > 0"), path)
+    assert read() == [(1,), (5,)]
+
+
+def landed(spark, price, hour, row=0):
+    return facts(spark, [("A", "S", "2024-01-30", f"2024-02-01 {hour:02d}:00:00", {"close": price}, f"{price}-{hour}")])
+
+
+def test_a_price_that_comes_back_is_a_version(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    for price, hour in ((100.0, 1), (105.0, 2), (105.0, 2), (100.0, 3), (100.0, 4)):
+        tables.append_facts(spark, landed(spark, price, hour), path, skip_unchanged=True)
+    assert rows(tables.read_facts(spark, path), "ingest_id") == [("100.0-1",), ("100.0-3",), ("105.0-2",)]
+
+
+def test_unchanged_rows_of_one_batch(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    batch = landed(spark, 1.0, 1).unionByName(landed(spark, 1.0, 2)).unionByName(landed(spark, 2.0, 3)).unionByName(landed(spark, 1.0, 4))
+    tables.append_facts(spark, batch, path, skip_unchanged=True)
+    assert rows(tables.read_facts(spark, path), "ingest_id") == [("1.0-1",), ("1.0-4",), ("2.0-3",)]

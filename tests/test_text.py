@@ -40,7 +40,9 @@ def test_metadata_defaults(spark):
 @pytest.mark.parametrize("raw,parsed", [
     ("2024-01-20T12:00:00Z", datetime(2024, 1, 20, 12)), ("2024-01-20T12:00:00.999999", datetime(2024, 1, 20, 12)),
     ("2024-01-20T14:00:00+02:00", datetime(2024, 1, 20, 12)), (" 2024-01-20 ", datetime(2024, 1, 20)),
-    ("2024-01-20 12:00", datetime(2024, 1, 20, 12)), ("2024", None), ("2024-13-01", None), ("yesterday", None), ("", None),
+    ("2024-01-20 12:00", datetime(2024, 1, 20, 12)), ("2024-01-20T12", datetime(2024, 1, 20, 12)),
+    ("20240120T120000", datetime(2024, 1, 20, 12)), ("2024-01-20t12:00:00", datetime(2024, 1, 20, 12)), ("20240120", datetime(2024, 1, 20)),
+    ("2024-01-20T14:00:00,5+02", datetime(2024, 1, 20, 12)), ("2024-0120", None), ("2024-01-20T", None), ("2024", None), ("2024-13-01", None), ("yesterday", None), ("", None),
     (None, None),
 ])
 def test_iso_instant(spark, raw, parsed):

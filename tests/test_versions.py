@@ -78,7 +78,7 @@ def test_common_indicators_keep_rows_of_unknown_sources(spark):
     sources = spark.createDataFrame(
         [("S", "V", "Vendor", None)], "data_source_id string, vendor_id string, vendor_name string, vendor_description string"
     )
-    found = versions.common_indicators(facts(spark, VERSIONS), sources, include_deleted=True)
+    found = versions.common_indicators(facts(spark, VERSIONS), sources, include_deleted=True, limit=100)
     assert (3, "T", None) in [(r[0].day, r[1], r[2]) for r in rows(found, "business_date", "data_source_id", "vendor_id")]
     assert found.limit(1).collect()[0]["close_price"] == 5.0
     assert versions.common_indicators(facts(spark, VERSIONS), sources, limit=2).count() == 2
