@@ -1,123 +1,73 @@
 """Row positions and previous values within an asset's series, for series of any length.
 
-An ordinary asset is one window over its rows. An asset can also hold a large share of the
-table, and then its window would be one endless task. The rows of such assets are numbered
-through cells instead: a cell is a range of the sort order, and a row's position is the
-number of rows in all earlier cells plus its place within its own cell. A cell is a
-business date; a date that is too large itself is cut further, into days of the system
-date, seconds of such a day, and prefixes of the id. Earlier rows are counted level by
-level, where a parent has a bounded number of children (days, seconds of a day, prefixes).
+A series is ordered by business date, system date and id. It is cut into cells, one for each (asset, business date, system
+hour), which is a prefix of that order and needs no look at the data first: rows are placed by a window over
+their cell, and cells by a window over one row for each cell of an asset. So a hot asset is spread over its dates, and
+what is in one task is what was known of one asset and date within an hour, or a calendar of counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Rows of one asset that one task sorts without trouble.
-HOT_ROWS = 2_000_000
-# An asset is hot only if it also holds more than 1/MAX_HOT of the rows, so there are
-# fewer than MAX_HOT hot assets: the list is small enough to broadcast, whatever the table.
-MAX_HOT = 50_000
-# Rows of a hot asset handled together when looking back one row.
-BLOCK_ROWS = 1_000_000
-
 ORDER = ["business_date", "system_date", "ingest_id"]
-_ID_PREFIX = 3
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows and more than 1/MAX_HOT of all: fewer than MAX_HOT keys."""
-    total = df.agg(F.count(F.lit(1)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where((F.col("_rows") > hot_rows) & (F.col("_rows") * MAX_HOT > total.scalar())).select(*keys)
-
-
-def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys). Null keys count as ordinary."""
-    hot = F.broadcast(hot_keys(df, [key], hot_rows))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
-
-
-def _with_cells(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame, list[str]]:
-    """The rows with their cell columns, which together are a prefix of the sort order."""
-    second = F.coalesce(F.unix_seconds("system_date"), F.lit(-(2**62)))
-    fine: dict[str, tuple[Column, Column]] = {
-        "_system_day": (F.floor(second / 86400), F.lit(0).cast("long")),
-        "_second": (second, F.lit(0).cast("long")),
-        "_prefix": (F.coalesce(F.substring("ingest_id", 1, _ID_PREFIX), F.lit("")), F.lit("")),
-    }
-    rows = df.withColumn("_day", F.coalesce(F.unix_date("business_date"), F.lit(-(2**31))))
-    large = hot_keys(rows, [key, "_day"], hot_rows).withColumn("_large", F.lit(True))
-    rows = rows.join(F.broadcast(large), [key, "_day"], "left").withColumns({
-        name: F.when(F.col("_large"), cut).otherwise(whole) for name, (cut, whole) in fine.items()
+CELL = ["_day", "_hour"]
+
+
+def with_cells(df: DataFrame) -> DataFrame:
+    """The rows with their cell columns; nulls sort first, as in the order itself."""
+    hour = F.floor(F.unix_seconds("system_date") / 3600)
+    return df.withColumns({
+        "_day": F.coalesce(F.unix_date("business_date"), F.lit(-(2**31))), "_hour": F.coalesce(hour, F.lit(-(2**62)).cast("long")),
     })
-    return rows.drop("_large"), ["_day", *fine]
-
-
-def _rows_before(cells: DataFrame, key: str, levels: list[str]) -> DataFrame:
-    """Per cell, the number of counted rows (``_rows``) in the earlier cells of its key."""
-    depths = [cells]
-    for depth in range(len(levels) - 1, 0, -1):
-        depths.insert(0, depths[0].groupBy(key, *levels[:depth]).agg(F.sum("_rows").alias("_rows")))
-    before = None
-    for depth, level_cells in enumerate(depths):
-        parent, child = [key, *levels[:depth]], levels[depth]
-        window = Window.partitionBy(*parent).orderBy(child).rowsBetween(Window.unboundedPreceding, -1)
-        counted = level_cells.withColumn("_here", F.coalesce(F.sum("_rows").over(window), F.lit(0)))
-        if before is None:
-            total = F.col("_here")
-        else:
-            counted = counted.join(before, parent)
-            total = F.col("_here") + F.col("_before")
-        before = counted.select(*parent, child, total.alias("_before"))
-    return before
-
-
-def _hot_steps(hot: DataFrame, key: str, counted: str, hot_rows: int) -> DataFrame:
-    rows, levels = _with_cells(hot, key, hot_rows)
-    cell = [key, *levels]
-    cells = rows.groupBy(*cell).agg(F.count(counted).alias("_rows"))
-    window = Window.partitionBy(*cell).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_inside", F.count(counted).over(window))
-    return (
-        placed.join(_rows_before(cells, key, levels), cell)
-        .withColumn("time_step", F.col("_inside") + F.col("_before"))
-        .drop(*levels, "_inside", "_before")
-    )
-
-
-def time_steps(df: DataFrame, counted: str, key: str = "asset_id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds ``time_step``: how many earlier rows of the key have a non-null ``counted`` column."""
-    ordinary, hot = split_hot(df, key, hot_rows)
-    window = Window.partitionBy(key).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    return ordinary.withColumn("time_step", F.count(counted).over(window)).unionByName(
-        _hot_steps(hot, key, counted, hot_rows)
-    )
-
-
-def with_previous(
-    df: DataFrame, value: str, key: str = "asset_id", hot_rows: int = HOT_ROWS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+
+
+def in_cell(key: str) -> WindowSpec:
+    return Window.partitionBy(key, *CELL).orderBy(*ORDER)
+
+
+def over_cells(key: str) -> WindowSpec:
+    """The cells of a key in order."""
+    return Window.partitionBy(key).orderBy(*CELL)
+
+
+def before(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def rows_before(n: Column, key: str) -> Column:
+    """For a row for each cell with ``n`` counted rows, how many are in earlier cells."""
+    return F.coalesce(F.sum(n).over(before(over_cells(key))), F.lit(0))
+
+
+def _with_cell_values(placed: DataFrame, cells: DataFrame, key: str) -> DataFrame:
+    """The rows with what is known of their cell, by the partitioning that the window over cells has made."""
+    named = cells.select(*[F.col(c).alias(f"_cell{c}") for c in (key, *CELL)], *[c for c in cells.columns if c not in (key, *CELL)])
+    same = F.col(key).eqNullSafe(F.col(f"_cell{key}"))
+    for c in CELL:
+        same = same & (F.col(c) == F.col(f"_cell{c}"))
+    return placed.join(named, same).drop(*[f"_cell{c}" for c in (key, *CELL)])
+
+
+def time_steps(df: DataFrame, counted: str, key: str = "asset_id") -> DataFrame:
+    """Adds ``time_step``: how many earlier rows of the key have a non-null ``counted`` column. A null key is a key."""
+    placed = with_cells(df).withColumn("_inside", F.count(counted).over(before(in_cell(key))))
+    cells = placed.groupBy(key, *CELL).agg(F.count(counted).alias("_n"))
+    cells = cells.withColumn("_earlier", rows_before(F.col("_n"), key)).drop("_n")
+    joined = _with_cell_values(placed, cells, key)
+    return joined.withColumn("time_step", F.col("_inside") + F.col("_earlier")).drop(*CELL, "_inside", "_earlier")
+
+
+def with_previous(df: DataFrame, value: str, key: str = "asset_id") -> DataFrame:
     """Adds ``time_step`` and ``previous``, the value one row earlier. ``value`` must not be null.
 
-    Hot assets look back within blocks of consecutive steps; the last row of a block is
-    handed to the next block as well, so the look-back never crosses a block.
+    The first row of a cell looks back to the last row of the cell before.
     """
-    ordinary, hot = split_hot(df, key, hot_rows)
-    ordered = Window.partitionBy(key).orderBy(*ORDER)
-    ordinary = ordinary.withColumns({
-        "time_step": (F.row_number().over(ordered) - 1).cast("long"),
-        "previous": F.lag(value).over(ordered),
-    })
-    block = F.floor(F.col("time_step") / block_rows)
-    blocks = F.when((F.col("time_step") + 1) % block_rows == 0, F.array(block, block + 1)).otherwise(F.array(block))
-    in_block = Window.partitionBy(key, "_block").orderBy("time_step")
-    hot = (
-        _hot_steps(hot, key, value, hot_rows)
-        .withColumn("_block", F.explode(blocks))
-        .withColumn("previous", F.lag(value).over(in_block))
-        .where(F.col("_block") == block)
-        .drop("_block")
-    )
-    return ordinary.unionByName(hot)
+    window = in_cell(key)
+    placed = with_cells(df).withColumns({"_inside": (F.row_number().over(window) - 1).cast("long"), "_lag": F.lag(value).over(window)})
+    cells = placed.groupBy(key, *CELL).agg(F.count(value).alias("_n"), F.max_by(value, "_inside").alias("_last"))
+    cells = cells.withColumns({"_earlier": rows_before(F.col("_n"), key), "_handed": F.lag("_last").over(over_cells(key))}).drop("_n", "_last")
+    return _with_cell_values(placed, cells, key).withColumns({
+        "time_step": F.col("_inside") + F.col("_earlier"), "previous": F.when(F.col("_inside") == 0, F.col("_handed")).otherwise(F.col("_lag")),
+    }).drop(*CELL, "_inside", "_earlier", "_lag", "_handed")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import MIN_TRAINING_POINTS, RIDGE_PENALTY
@@ -12,7 +12,7 @@ from ..functions.metrics import price
 from ..functions.numeric import percent_change, ratio, simple_return
 from ..functions.text import business_year
 from .filters import business_range, where_equal, where_in
-from .ordering import HOT_ROWS, time_steps, with_previous
+from .ordering import CELL, before, in_cell, over_cells, rows_before, with_cells, with_previous
 from .versions import newest, top_versions
 
 
@@ -38,32 +38,54 @@ def yearly_totals(facts: DataFrame, asset_ids=None) -> DataFrame:
     )
 
 
-def _trend_points(facts: DataFrame, asset_ids, hot_rows: int) -> DataFrame:
+def _fits(facts: DataFrame, asset_ids) -> DataFrame:
+    """Least squares of close on its position, per asset with enough points; one read and one shuffle of the rows.
+
+    Positions are 0, 1, ... so their mean and spread follow from the count. A cell (see ``ordering``) is folded to count, mean, sums of
+    squares and products about its means; cells are merged about the asset's means, which keeps the digits.
+    Unpriced rows only count for the last date.
+    """
     rows = where_in(facts, "asset_id", asset_ids).where(F.col("asset_id").isNotNull())
     points = rows.select(
         "asset_id", "business_date", "system_date", "ingest_id", price(rows, "close", "close_price").alias("_close")
     )
-    return time_steps(points, "_close", hot_rows=hot_rows)
-
-
-def _fit_trends(points: DataFrame, slope: Column, intercept: Column, r_squared: Column) -> DataFrame:
-    """One aggregation for all assets; unpriced rows only count for the last date."""
-    x = F.when(F.col("_close").isNotNull(), F.col("time_step").cast("double"))
-    y = F.col("_close")
-    fitted = points.groupBy("asset_id").agg(
-        F.count(y).alias("training_points"),
-        F.max_by(y, F.when(y.isNotNull(), F.col("time_step"))).alias("last_known_close"),
-        F.regr_slope(y, x).alias("_slope"),
-        F.regr_intercept(y, x).alias("_intercept"),
-        F.regr_r2(y, x).alias("_r2"),
-        F.avg(x).alias("_mean_x"),
-        F.avg(y).alias("_mean_y"),
-        F.stddev_pop(x).alias("_sd_x"),
-        F.stddev_pop(y).alias("_sd_y"),
-        F.max("business_date").alias("last_business_date"),
-    ).where(F.col("training_points") >= MIN_TRAINING_POINTS)
+    y, j = F.col("_close"), F.col("_inside")
+    placed = with_cells(points).withColumn("_inside", F.count("_close").over(before(in_cell("asset_id"))))
+    cells = placed.groupBy("asset_id", *CELL).agg(
+        F.count(y).alias("_n"), F.coalesce(F.avg(y), F.lit(0.0)).alias("_mean"),
+        F.coalesce(F.var_pop(y) * F.count(y), F.lit(0.0)).alias("_squares"),
+        F.coalesce(F.covar_pop(j.cast("double"), y) * F.count(y), F.lit(0.0)).alias("_products"),
+        F.min(y).alias("_least"), F.max(y).alias("_most"),
+        F.max_by(y, F.when(y.isNotNull(), j)).alias("_last"), F.max("business_date").alias("last_business_date"),
+    )
+    asset, n = Window.partitionBy("asset_id"), F.col("_n")
+    merged = cells.withColumns({
+        "_earlier": rows_before(n, "asset_id"), "_points": F.sum("_n").over(asset), "_mean_y": F.try_divide(F.sum(n * F.col("_mean")).over(asset), F.sum("_n").over(asset)),
+    }).where(F.col("_points") >= MIN_TRAINING_POINTS)
+    from_mean_x = F.col("_earlier") + (n - 1) / 2 - (F.col("_points") - 1) / 2
+    from_mean_y = F.col("_mean") - F.col("_mean_y")
+    sums = merged.groupBy("asset_id").agg(
+        F.first("_points").alias("training_points"), F.first("_mean_y").alias("_mean_y"),
+        F.sum(F.col("_squares") + n * from_mean_y * from_mean_y).alias("_squares"),
+        F.sum(F.col("_products") + n * from_mean_x * from_mean_y).alias("_products"),
+        (F.min("_least") == F.max("_most")).alias("_constant"), F.min("_least").alias("_least"),
+        F.max_by("_last", F.when(n > 0, F.struct(*CELL))).alias("last_known_close"), F.max("last_business_date").alias("last_business_date"),
+    )
+    points_, flat = F.col("training_points"), F.col("_constant")
+    sums = sums.withColumns({
+        "_mean_y": F.when(flat, F.col("_least")).otherwise(F.col("_mean_y")), "_squares": F.when(flat, 0.0).otherwise(F.col("_squares")),
+        "_products": F.when(flat, 0.0).otherwise(F.col("_products")),
+        "_mean_x": (points_ - 1) / 2, "_squares_x": points_ * (points_.cast("double") * points_ - 1) / 12,
+    })
+    return sums.withColumns({
+        "_slope": F.col("_products") / F.col("_squares_x"), "_sd_y": F.sqrt(F.col("_squares") / points_),
+        "_r2": F.when(flat, 1.0).otherwise(F.col("_products") * F.col("_products") / (F.col("_squares_x") * F.col("_squares"))),
+    })
+
+
+def _trends(fits: DataFrame, slope: Column, intercept: Column, r_squared: Column) -> DataFrame:
     return (
-        fitted.withColumns({"calculated_trend_slope": slope})
+        fits.withColumns({"calculated_trend_slope": slope})
         .withColumns({"intercept": intercept})
         .withColumns({
             "predicted_next_close_price": F.col("intercept")
@@ -78,15 +100,13 @@ def _fit_trends(points: DataFrame, slope: Column, intercept: Column, r_squared:
     )
 
 
-def linear_trends(facts: DataFrame, asset_ids=None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def linear_trends(facts: DataFrame, asset_ids=None) -> DataFrame:
     """Ordinary least squares of close on its position, per asset with enough points."""
-    points = _trend_points(facts, asset_ids, hot_rows)
-    return _fit_trends(points, F.col("_slope"), F.col("_intercept"), F.col("_r2"))
+    return _trends(_fits(facts, asset_ids), F.col("_slope"), F.col("_mean_y") - F.col("_slope") * F.col("_mean_x"), F.col("_r2"))
 
 
-def ridge_trends(facts: DataFrame, asset_ids=None, hot_rows: int = HOT_ROWS, penalty: float = RIDGE_PENALTY) -> DataFrame:
+def ridge_trends(facts: DataFrame, asset_ids=None, penalty: float = RIDGE_PENALTY) -> DataFrame:
     """The ridge form on standardised data, in closed form for its single feature."""
-    points = _trend_points(facts, asset_ids, hot_rows)
     spread = F.col("_sd_y")
     slope = F.when(spread == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.col("_slope"), 1 + F.try_divide(F.lit(penalty), spread))
@@ -95,7 +115,7 @@ def ridge_trends(facts: DataFrame, asset_ids=None, hot_rows: int = HOT_ROWS, pen
     # 1 - RSS/TSS of the shrunk line: with b = k * OLS slope, r2 = OLS r2 * (2k - k^2)
     shrink = F.try_divide(F.col("calculated_trend_slope"), F.col("_slope"))
     r_squared = F.when(spread != 0, F.coalesce(F.col("_r2") * (2 * shrink - shrink * shrink), F.lit(0.0)))
-    return _fit_trends(points, slope, intercept, r_squared)
+    return _trends(_fits(facts, asset_ids), slope, intercept, r_squared)
 
 
 def priced_series(facts: DataFrame, price_names=("close", "close_price"), source_id=None, start=None, end=None) -> DataFrame:
@@ -107,30 +127,46 @@ def priced_series(facts: DataFrame, price_names=("close", "close_price"), source
     )
 
 
-def series_returns(series: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def series_returns(series: DataFrame) -> DataFrame:
     """Adds ``time_step`` and the simple ``return`` on the previous row; null after a zero price."""
-    with_lag = with_previous(series, "_close", hot_rows=hot_rows)
+    with_lag = with_previous(series, "_close")
     return with_lag.withColumn("return", simple_return(F.col("_close"), F.col("previous")))
 
 
-def series_statistics(series: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Per asset: count, first, last, average, percent change, volatility of returns.
+def series_statistics(series: DataFrame) -> DataFrame:
+    """Per asset: count, first, last, average, percent change, volatility of returns; one read and one shuffle of the rows.
 
-    Volatility is 0 for a single return and null for none.
+    A cell (see ``ordering``) keeps its first and last close and the moments of the returns inside it; the return from one
+    cell to the next is added between them. Volatility is 0 for a single return and null for none.
     """
-    steps = series_returns(series, hot_rows)
-    grouped = steps.groupBy("asset_id").agg(
-        F.count("_close").alias("count"),
-        F.min_by("_close", "time_step").alias("first"),
-        F.max_by("_close", "time_step").alias("last"),
-        F.avg("_close").alias("average"),
-        F.count("return").alias("_returns"),
-        F.stddev_samp("return").alias("_deviation"),
+    window = in_cell("asset_id")
+    placed = with_cells(series).withColumns({"_inside": F.row_number().over(window), "_lag": F.lag("_close").over(window)})
+    inner = simple_return(F.col("_close"), F.col("_lag"))
+    cells = placed.withColumn("_return", inner).groupBy("asset_id", *CELL).agg(
+        F.count("_close").alias("_n"), F.avg("_close").alias("_mean"), F.min_by("_close", "_inside").alias("_first"), F.max_by("_close", "_inside").alias("_last"),
+        F.count("_return").alias("_returns"), F.coalesce(F.avg("_return"), F.lit(0.0)).alias("_mean_return"),
+        F.coalesce(F.var_pop("_return") * F.count("_return"), F.lit(0.0)).alias("_squares"),
+    )
+    asset = Window.partitionBy("asset_id")
+    joined = cells.withColumn("_step", simple_return(F.col("_first"), F.lag("_last").over(over_cells("asset_id"))))
+    steps = F.col("_step").isNotNull().cast("long")
+    merged = joined.withColumns({
+        "_all": F.sum(F.col("_returns") + steps).over(asset),
+        "_sum": F.sum(F.col("_returns") * F.col("_mean_return") + F.coalesce("_step", F.lit(0.0))).over(asset),
+    }).withColumn("_mean_all", F.try_divide(F.col("_sum"), F.col("_all")))
+    from_mean, step_from_mean = F.col("_mean_return") - F.col("_mean_all"), F.col("_step") - F.col("_mean_all")
+    grouped = merged.groupBy("asset_id").agg(
+        F.sum("_n").alias("count"),
+        F.min_by("_first", F.struct(*CELL)).alias("first"),
+        F.max_by("_last", F.struct(*CELL)).alias("last"),
+        (F.sum(F.col("_n") * F.col("_mean")) / F.sum("_n")).alias("average"),
+        F.first("_all").alias("_returns"),
+        F.sum(F.col("_squares") + F.col("_returns") * from_mean * from_mean + F.coalesce(step_from_mean * step_from_mean, F.lit(0.0))).alias("_squares"),
     )
     return grouped.select(
         "asset_id", "count", "first", "last", "average",
         percent_change(F.col("first"), F.col("last")).alias("percent_change"),
-        F.when(F.col("_returns") == 1, 0.0).otherwise(F.col("_deviation")).alias("volatility"),
+        F.when(F.col("_returns") == 1, 0.0).when(F.col("_returns") > 1, F.sqrt(F.col("_squares") / (F.col("_returns") - 1))).alias("volatility"),
     )
 
 
@@ -158,20 +194,23 @@ def pair_correlations(series: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def compare_pairs(
     facts: DataFrame, pairs: DataFrame | Sequence[tuple[str, str]], price_names=("close", "close_price"), source_id=None,
-    start=None, end=None, hot_rows: int = HOT_ROWS,
+    start=None, end=None,
 ) -> DataFrame:
     """Statistics of both assets, correlation and overlap, one row per (asset_a, asset_b).
 
     An asset without priced rows has count 0 and no other statistics. Listed pairs filter
-    the scan. For a table of pairs the statistics of all assets are computed once, which
-    costs one shuffle where a semi-join would cost one per use of the series.
+    the scan; a table of pairs cuts the series to its assets before anything is computed.
     """
-    if not isinstance(pairs, DataFrame):
+    cut = isinstance(pairs, DataFrame)
+    if not cut:
         facts = where_in(facts, "asset_id", sorted({asset for pair in pairs for asset in pair}))
         pairs = facts.sparkSession.createDataFrame(list(pairs), "asset_a string, asset_b string")
     wanted = pairs.select("asset_a", "asset_b").distinct()
     series = priced_series(facts, price_names, source_id, start, end)
-    stats = series_statistics(series, hot_rows)
+    if cut:
+        assets = wanted.select(F.col("asset_a").alias("asset_id")).union(wanted.select("asset_b")).distinct()
+        series = where_in(series, "asset_id", assets)
+    stats = series_statistics(series)
     names = ["count", "first", "last", "average", "percent_change", "volatility"]
 
     def side(letter: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,37 +45,66 @@ def brute(table, counted):
     return expected
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 150, 0])
-def test_steps_do_not_depend_on_the_path(spark, table, hot_rows):
-    got = ordering.time_steps(table, "price", hot_rows=hot_rows)
+def test_steps_by_brute_force(spark, table):
+    got = ordering.time_steps(table, "price")
     assert rows(got, "asset_id", "ingest_id", "time_step") == in_order(t[:3] for t in brute(table, "price"))
 
 
-@pytest.mark.parametrize("hot_rows,block_rows", [(10**9, 10), (150, 7), (0, 1), (0, 10**6)])
-def test_previous_does_not_depend_on_the_path(spark, table, hot_rows, block_rows):
+def test_previous_by_brute_force(spark, table):
     priced = table.where(F.col("price").isNotNull())
-    got = ordering.with_previous(priced, "price", hot_rows=hot_rows, block_rows=block_rows)
+    got = ordering.with_previous(priced, "price")
     assert rows(got, "asset_id", "ingest_id", "time_step", "previous") == in_order(brute(priced, "price"))
 
 
-def test_only_large_keys_are_hot(spark, table):
-    ordinary, hot = ordering.split_hot(table, "asset_id", hot_rows=150)
-    assert {r[0] for r in rows(hot, "asset_id")} == {"HOT"}
-    assert ordinary.count() + hot.count() == table.count()
+def named(table):
+    return table.withColumns({"close": F.col("price"), "close_price": F.lit(None).cast("double"), "data_source_id": F.lit("S")})
 
 
-def test_trends_and_statistics_do_not_depend_on_the_path(spark, table):
-    named = table.withColumns({"close": F.col("price"), "close_price": F.lit(None).cast("double"), "data_source_id": F.lit("S")})
-    for function in (statistics.linear_trends, statistics.ridge_trends):
-        plain = function(named, hot_rows=10**9).drop("calculation_time")
-        close(plain, function(named, hot_rows=150).drop("calculation_time"))
-    series = statistics.priced_series(named)
-    close(statistics.series_statistics(series, 10**9), statistics.series_statistics(series, 150))
-
-
-def close(a, b):
-    a, b = rows(a), rows(b)
-    assert len(a) == len(b) > 0
-    for left, right in zip(a, b):
-        for x, y in zip(left, right):
-            assert x == (pytest.approx(y, rel=1e-9) if isinstance(y, float) else y)
+def ordered_prices(table):
+    low = (datetime.min, date.min)
+    groups = {}
+    for r in table.collect():
+        groups.setdefault(r.asset_id, []).append(r)
+    for members in groups.values():
+        members.sort(key=lambda r: (r.business_date or low[1], r.system_date or low[0], r.ingest_id))
+    return [r.price for members in groups.values() for r in members]
+
+
+def test_trends_and_statistics_by_brute_force(spark, table):
+    closes = {}
+    for (asset, *_), price in zip(brute(table, "price"), ordered_prices(table)):
+        if asset is not None and price is not None:
+            closes.setdefault(asset, []).append(price)
+    for r in statistics.linear_trends(named(table)).collect():
+        y = np.array(closes[r.asset_id])
+        slope, intercept = np.polyfit(np.arange(len(y)), y, 1)
+        assert (r.training_points, r.last_known_close) == (len(y), y[-1])
+        assert (r.calculated_trend_slope, r.intercept) == (pytest.approx(slope, rel=1e-7, abs=1e-9), pytest.approx(intercept, rel=1e-7))
+        assert r.r_squared == pytest.approx(np.corrcoef(np.arange(len(y)), y)[0, 1] ** 2, rel=1e-7, abs=1e-12)
+    for r in statistics.series_statistics(statistics.priced_series(named(table))).collect():
+        y = closes[r.asset_id]
+        returns = [(b - a) / a for a, b in zip(y, y[1:]) if a]
+        assert (r["count"], r.first, r.last) == (len(y), y[0], y[-1])
+        assert (r.average, r.volatility) == (pytest.approx(np.mean(y)), pytest.approx(np.std(returns, ddof=1)))
+
+
+def test_constant_prices(spark):
+    facts = spark.createDataFrame([("A", date(2024, 1, d), datetime(2024, 1, d), str(d), 0.1) for d in range(1, 8)], SCHEMA)
+    r = statistics.linear_trends(named(facts)).collect()[0]
+    assert (r.calculated_trend_slope, r.intercept, r.r_squared) == (0.0, 0.1, 1.0)
+    assert statistics.ridge_trends(named(facts)).collect()[0].r_squared is None
+
+
+def scans(df):
+    """File scans in the plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet")
+
+
+def test_facts_are_read_once(spark, table, tmp_path):
+    named(table).write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    assert scans(statistics.linear_trends(facts)) == scans(statistics.ridge_trends(facts)) == 1
+    assert scans(statistics.series_statistics(statistics.priced_series(facts))) == 1
+    assert scans(ordering.time_steps(facts, "price")) <= 2
+    assert scans(statistics.series_returns(statistics.priced_series(facts))) <= 2
