@@ -135,6 +135,20 @@ def cat17(spark, sf):
     return summary.withColumn("predicted_next_close_price", r6("predicted_next_close_price"))
 
 
+@query("cat17_stored_summary", oracle("totals", "trends", "assets", body=f"""
+    , years AS (SELECT asset_id, max(business_date_year) AS business_date_year,
+                arg_max(record_count, business_date_year) AS record_count FROM totals GROUP BY 1)
+    SELECT asset_id, business_date_year, record_count, {sql_r6('predicted_next_close_price')} AS predicted_next_close_price
+    FROM years FULL JOIN trends USING (asset_id) WHERE asset_id IN (SELECT asset_id FROM assets)"""))
+def cat17_stored(spark, sf):
+    """The summary of totals and trends that a run stored, over stored facts."""
+    root = scratch_path(spark, "warehouse")
+    facts = v.facts(spark, sf).withColumn("provenance", F.lit(None).cast(tables.schemas.PROVENANCE))
+    tables.append_facts(spark, facts, runs.table_paths(root)["facts"])
+    summary = runs.run_summary(*runs.run_analytics(spark, root), v.assets(spark, sf))
+    return summary.withColumn("predicted_next_close_price", r6("predicted_next_close_price"))
+
+
 @query("cat18_analytics_run", oracle("totals", "trends", body=f"""
     SELECT asset_id, business_date_year, record_count, {sql_r6('average_close_price')} AS average_close_price,
            training_points, {sql_r6('calculated_trend_slope')} AS calculated_trend_slope

@@ -32,6 +32,16 @@ def stm1(spark, sf):
     return read_facts(spark, target).select("asset_id", "business_date", ntz("system_date"), "ingest_id", "close_price")
 
 
+@query("stm1_stateful_dedupe", oracle("facts", body="""
+    SELECT asset_id, business_date, system_date, ingest_id, close_price FROM facts"""))
+def stm1_stateful(spark, sf):
+    """Every event is streamed twice; the watermark step drops the copies before the sink sees them."""
+    target = scratch_path(spark, "facts")
+    once = event_stream(spark, sf).withColumn("provenance", provenance()).select(*FACTS.names)
+    ingest.stream_facts(spark, once.unionByName(once), target, scratch_path(spark, "checkpoint"), "400 days").awaitTermination()
+    return read_facts(spark, target).select("asset_id", "business_date", ntz("system_date"), "ingest_id", "close_price")
+
+
 @query("stm2_stream_dims", oracle("facts", body=ASSET_DIM_SQL))
 def stm2(spark, sf):
     root = scratch_path(spark, "warehouse")
