@@ -43,7 +43,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = wordbpe.decode(wordbpe.encode(table(spark, sf_dir, "documents")))
+    decoded = wordbpe.round_trip(table(spark, sf_dir, "documents"))
     return decoded.select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -11,7 +11,7 @@ import functools
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, mix, ragged, span_hashes, stored
 
 #: characters of a block's texts, and distinct words of a shard on average
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 16_000_000
 WORDS_PER_SHARD = 400_000
 #: distinct words that a block or a task's memory holds at a time
-MOST_WORDS = 1_500_000
+MOST_WORDS = 900_000
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD, _UNKNOWN = range(6)
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -260,9 +260,13 @@ def text_parts(texts: list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         yield begin, len(texts)
 
 
+#: ranks below this take one byte; what is above takes its upper bits and two bytes more
+_SHORT = 240
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes.T).tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -270,21 +274,50 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-BLOCKS = "block long, doc_ids array<long>, n_words array<int>, positions binary, places binary, hashes binary, words array<string>"
+def _pack_ranks(ranks: np.ndarray) -> bytes:
+    """Ranks of words by frequency, below ``_SHORT + (256 - _SHORT) * 65536``: most take one byte."""
+    above = np.maximum(ranks - _SHORT, 0)
+    lead = np.where(ranks < _SHORT, ranks, _SHORT + (above >> 16)).astype(np.uint8)
+    rest = (above[ranks >= _SHORT] & 0xFFFF).astype("<u2").view(np.uint8).reshape(-1, 2)
+    return zstandard.ZstdCompressor(level=3).compress(len(lead).to_bytes(8, "little") + lead.tobytes() + np.ascontiguousarray(rest.T).tobytes())
+
+
+def _unpack_ranks(data: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(raw[:8], "little")
+    lead, rest = np.frombuffer(raw, np.uint8, n, 8), np.frombuffer(raw, np.uint8, offset=8 + n).reshape(2, -1)
+    out = lead.astype(np.int32)
+    long = lead >= _SHORT
+    out[long] = _SHORT + ((out[long] - _SHORT) << 16) + np.ascontiguousarray(rest.T).view("<u2").ravel()
+    return out
+
+
+def _pack_words(words: list[str]) -> bytes:
+    return zstandard.ZstdCompressor(level=9).compress("\n".join(words).encode("utf-8", "surrogatepass"))
+
+
+def _unpack_words(data: bytes) -> list[str]:
+    return zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass").split("\n")
+
+
+BLOCKS = "block long, doc_ids array<long>, n_words array<int>, positions binary, places binary, hashes binary, n_distinct int, words binary"
 
 
 def word_blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Blocks of documents: the words of each, the word number at each position, and the distinct words by hash."""
+    """Blocks of documents: the words of each, at each position the rank of its word, and the distinct words by hash."""
     bpe, context = word_bpe(path), TaskContext.get()
     base, done = (context.partitionId() if context else 0) << 32, 0
     ids, n_words, stream, words, known, size = [], [], [], [], WordNumbers(), 0
 
     def block() -> pa.RecordBatch:
         high = (known.hashes >> np.uint64(32)).astype(np.int64)
-        row = [base + done, ids, np.concatenate(n_words).astype(np.int32), _pack(np.concatenate(stream)), _pack(known.numbers),
-               _pack(np.diff(high, prepend=0)), [words[i] for i in known.numbers.tolist()]]
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=["block", "doc_ids", "n_words", "positions", "places", "hashes", "words"])
+        positions = np.concatenate(stream)
+        ranks = np.empty(known.size, np.int64)
+        ranks[np.argsort(-np.bincount(positions, minlength=known.size), kind="stable")] = np.arange(known.size)
+        row = [base + done, ids, np.concatenate(n_words).astype(np.int32), _pack_ranks(ranks[positions]), _pack(ranks[known.numbers]),
+               _pack(np.diff(high, prepend=0)), known.size, _pack_words([words[i] for i in known.numbers.tolist()])]
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=["block", "doc_ids", "n_words", "positions", "places", "hashes", "n_distinct", "words"])
 
     for batch in batches:
         texts, doc_ids = pc.fill_null(batch["text"], "").to_pylist(), batch["doc_id"].to_pylist()
@@ -293,7 +326,7 @@ def word_blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Rec
             numbers, new = known.add(hashes)
             ids += doc_ids[begin:end]
             n_words.append(np.diff(rows))
-            stream.append(numbers)
+            stream.append(numbers.astype(np.int32))
             words += [big[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
             size += len(big)
             if size >= BLOCK_CHARS or known.size >= MOST_WORDS:
@@ -316,42 +349,54 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     The ids are those of the tokenizers library with add_special_tokens=False. Null and empty texts have no ids. Rows with a null or
     repeated doc_id are encoded like any other. Other columns are not read; an empty table gives no rows.
     """
-    path = tokenizer or default_tokenizer()
+    return _encode(docs, tokenizer or default_tokenizer(), False)
+
+
+def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """doc_id, ids and decoded: ``decode(encode(docs))`` with each block decoded by the task that placed its ids."""
+    return _encode(docs, tokenizer or default_tokenizer(), True)
+
+
+def _encode(docs: DataFrame, path: str, decoded: bool) -> DataFrame:
+    pieces = word_bpe(path).pieces if decoded else None
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = stored(texts.mapInArrow(lambda b: word_blocks(b, path), BLOCKS), "word-blocks")
-    total = blocks.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    total = blocks.agg(F.sum("n_distinct")).first()[0] or 0
     shards = max(1, -(-total // WORDS_PER_SHARD))
 
     def deal(batches):
         for batch in batches:
-            for block, hashes, words in zip(batch["block"].to_pylist(), batch["hashes"].to_pylist(), batch["words"]):
+            for block, n, hashes, words in zip(*[batch[c].to_pylist() for c in ("block", "n_distinct", "hashes", "words")]):
+                if not n:
+                    continue
                 of, edges = _shard_edges(hashes, shards)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(of, pa.int64()), pa.array([block] * len(of), pa.int64()), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), words.values),
-                ], names=["shard", "block", "words"])
+                words = _unpack_words(words)
+                parts = [_pack_words(words[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array([block] * len(of), pa.int64()), pa.array(parts, pa.binary())], names=["shard", "block", "words"])
 
     def encode_shard(shard: pa.Table) -> pa.Table:
         bpe = word_bpe(path)
-        lists = shard["words"].combine_chunks()
-        coded = lists.flatten().dictionary_encode()
+        lists = [_unpack_words(w.as_py()) for w in shard["words"]]
+        coded = pa.array([w for words in lists for w in words], pa.string()).dictionary_encode()
         ids = [bpe.encode_word(w) for w in coded.dictionary.to_pylist()]  # the shard of the distinct-word table
         sizes = np.array([len(x) for x in ids], np.int64)
         flat, begin = np.array([i for x in ids for i in x], np.int64), np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
         out, place = [], 0
-        for n in pc.list_value_length(lists).to_pylist():
+        for n in map(len, lists):
             own = at[place:place + n]
             out.append((_pack(sizes[own]), _pack(flat[ragged(begin[own], sizes[own])])))
             place += n
         return pa.table({"block": shard["block"], "shard": shard["shard"], "sizes": pa.array([s for s, _ in out], pa.binary()), "ids": pa.array([i for _, i in out], pa.binary())})
 
-    answers = blocks.select("block", "hashes", "words").mapInArrow(deal, "shard long, block long, words array<string>").groupBy("shard").applyInArrow(
+    answers = blocks.select("block", "n_distinct", "hashes", "words").mapInArrow(deal, "shard long, block long, words binary").groupBy("shard").applyInArrow(
         encode_shard, "block long, shard long, sizes binary, ids binary")
 
-    def place(block: pa.Table, answer: pa.Table) -> Iterator[pa.RecordBatch]:
+    def place(block: pa.Table, answer: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
         if not block.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})
+            schema = schema.append(pa.field("decoded", pa.string())) if decoded else schema
+            return schema.empty_table()
         order = np.argsort(answer["shard"].to_numpy())
         parts = [(_unpack(answer["sizes"][i].as_py()), _unpack(answer["ids"][i].as_py())) for i in order.tolist()]
         sizes = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
@@ -360,7 +405,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         numbers = _unpack(block["places"][0].as_py())
         by_number = np.empty(len(numbers), np.int64)
         by_number[numbers] = np.arange(len(numbers))
-        positions = _unpack(block["positions"][0].as_py())
+        positions = _unpack_ranks(block["positions"][0].as_py())
         n_words, doc_ids = block["n_words"][0].values.to_numpy(), block["doc_ids"][0].values
         ends = np.cumsum(n_words)
         chunks, a = [], 0
@@ -374,15 +419,14 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             data = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(after.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
             chunks.append(pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), data], schema=schema))
             a = b
-        return pa.Table.from_batches(chunks, schema)
+        return pa.Table.from_batches(decode_ids(chunks, pieces) if decoded else chunks)
 
-    return blocks.select("block", "doc_ids", "n_words", "positions", "places").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids binary")
+    return blocks.select("block", "doc_ids", "n_words", "positions", "places").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        place, "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
-def decode_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def decode_ids(batches: Iterable[pa.RecordBatch], pieces: pa.Array) -> Iterator[pa.RecordBatch]:
     """Adds `decoded`: the pieces of the ids, joined as the library's decode(ids, skip_special_tokens=False) joins them."""
-    bpe = word_bpe(path)
-    pieces = bpe.pieces
     for batch in batches:
         blobs = batch["ids"].to_pylist()
         for begin in range(0, len(blobs), 64):
@@ -399,5 +443,5 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
     Each id meets its piece in the vocabulary, whose size the tokenizer file bounds, so every task holds it; the pieces
     are joined by spaces, as the file names no decoder. No ids give an empty text.
     """
-    path = tokenizer or default_tokenizer()
-    return encoded.select("doc_id", "ids").mapInArrow(lambda b: decode_ids(b, path), "doc_id long, ids binary, decoded string")
+    pieces = word_bpe(tokenizer or default_tokenizer()).pieces
+    return encoded.select("doc_id", "ids").mapInArrow(lambda b: decode_ids(b, pieces), "doc_id long, ids binary, decoded string")

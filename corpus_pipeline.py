@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from chronovault.llm import decontaminate, language, line_dedup, superminhash, wordbpe
 from chronovault.llm.common import stored, table
 
-#: a language must have this much of the probability that all languages give a text
-LEAST_LANGUAGE_SCORE = 0.5
+#: a language must have this much of the probability all languages give a text; of four equal ones each has 0.25
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def _only(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def _only(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters or without a clear language go; `lang` becomes the predicted one."""
+    """Texts without letters or without a clear language go."""
     found = language.predict_languages(docs).where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return _only(docs, found)
 
@@ -48,7 +48,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the hash of the decoded text."""
-    decoded = wordbpe.decode(wordbpe.encode(docs))
+    decoded = wordbpe.round_trip(docs)
     return decoded.select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
