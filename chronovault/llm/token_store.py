@@ -27,6 +27,10 @@ LEVEL = 3
 #: the dictionary is trained on the documents with the smallest hashed ids, so many of them, with so many bytes of each
 TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 1000, 20_000, 64 * 1024
 
+_HASH_PARTS = 1 << 40
+#: starts of this many shards, one small row each, are sent to all tasks; more are joined by a shuffle
+MOST_STARTS = 200_000
+
 SHARDS = "part int, seq int, dict_hash string, width int, first_doc long, last_doc long, n_docs int, n_tokens long, doc_ids array<long>, frame_ends array<long>, token_counts array<int>, frames binary"
 
 
@@ -81,7 +85,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """
     spark, name = docs.sparkSession, tokenizer or default_tokenizer()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = texts.where("text <> ''").select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, TRAIN_BYTES).alias("text")).orderBy("h", "text").limit(TRAIN_DOCS)
+    hashed = texts.where("text <> ''").select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, TRAIN_BYTES).alias("text"))
+    # of a large table some four times the documents needed are hashed low enough to be sorted
+    part = -(-4 * TRAIN_DOCS * _HASH_PARTS // max(docs.count(), 1))
+    sample = hashed.where(F.pmod("h", F.lit(_HASH_PARTS)) < part).orderBy("h", "text").limit(TRAIN_DOCS)
     samples = [r["text"] for r in sample.collect()]
     flat, at = WordIds(word_bpe(name)).encode(samples) if samples else (np.zeros(0), [])
     flat = flat.astype(_id_type(word_bpe(name)))
@@ -125,6 +132,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     parts = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     seqs = shards.select("part", "seq", (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")).alias("seq_start"))
     starts = seqs.join(parts, "part").select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("start"))
+    starts = F.broadcast(starts) if shards.count() <= MOST_STARTS else starts.hint("merge")
     placed = shards.join(starts, ["part", "seq"]).select("dict_hash", "width", "start", "doc_ids", "frame_ends", "token_counts", "frames")
     return placed.mapInArrow(lambda b: unpack_shards(b, dictionary), "doc_id long, start long, n_tokens long, ids binary")
 
