@@ -139,11 +139,18 @@ def training_texts(docs: DataFrame, n_docs: int = TRAIN_DOCS, n_bytes: int = TRA
     ``n_bytes`` long, with the smallest hashed ids. The bound holds for each language, whatever the table's size."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2) & F.octet_length("text").between(1, n_bytes))
-    rows = rows.withColumn("h", F.xxhash64("doc_id", "text")).withColumn("part", F.pmod("h", F.lit(_PARTS)))
+    rows = rows.withColumn("h", F.xxhash64("doc_id"))
+    # the hash of the last document of each language first, so that no text is moved that is not taken
+    ranked = rows.select("lang", "h", F.pmod("h", F.lit(_PARTS)).alias("part"))
     for keys in (["lang", "part"], ["lang"]):
-        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "text"))).where(F.col("rank") <= n_docs)
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("rank") <= n_docs)
+    last = [(r["lang"], r["h"]) for r in ranked.groupBy("lang").agg(F.max("h").alias("h")).collect()]
+    if not last:
+        return {}
+    limits = docs.sparkSession.createDataFrame(last, "lang string, last long")
+    rows = rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("last"))
     out: dict[str, list[bytes]] = {}
-    for row in rows.select("lang", "text").orderBy("lang", "h").toLocalIterator():
+    for row in rows.select("lang", "text", "h").orderBy("lang", "h", "text").toLocalIterator():
         out.setdefault(row["lang"], []).append(row["text"].encode())
     return out
 
