@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: links that a task's union-find holds at a time
-FOREST_LINKS = 500_000
+#: links that a task takes, and nodes its union-find holds at a time
+TASK_LINKS, FOREST_NODES = 100_000, 200_000
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -33,7 +33,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        if len(parent) >= FOREST_LINKS:
+        if len(parent) >= FOREST_NODES:
             yield links()
             parent.clear()
     if parent:
@@ -43,11 +43,16 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in the links (a, b); the component is its smallest node.
 
-    Each turn hooks every node to its smallest neighbour, follows two of these hooks, and joins the links' ends to what
-    they hook to; links inside one node vanish. A node of any degree is one partial aggregate for each task.
+    Tasks reduce their links to forests first. If more than one task was needed, turns follow: each hooks every node to its
+    smallest neighbour, follows two of these hooks, and joins the links' ends to what they hook to; links inside one
+    node vanish. A node of any degree is one partial aggregate for each task.
     """
-    links = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = stored(links.repartition("a").mapInArrow(_forest, "a long, b long").distinct(), "links")
+    links = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "links")
+    tasks = max(1, -(-links.count() // TASK_LINKS))
+    left = stored(links.coalesce(tasks).mapInArrow(_forest, "a long, b long"), "forest")
+    if tasks == 1:  # its nodes are fewer than a union-find holds, so every tree is whole
+        roots = left.select(F.col("b").alias("node")).distinct()
+        return stored(left.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", "node")), "labels")
     both = left.select("a").union(left.select("b")).distinct()
     labels = stored(both.select(F.col("a").alias("node"), F.col("a").alias("component")), "labels")
     while not left.isEmpty():
