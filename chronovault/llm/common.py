@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronovault.session import materialise
 
 #: bytes of text that one vectorised step takes at a time, unless one text is longer
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
