@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, mix, ragged, span_hashes, stored
 
 #: characters of a block's texts, and distinct words of a shard on average
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 28_000_000
 WORDS_PER_SHARD = 400_000
 #: distinct words that a block or a task's memory holds at a time
 MOST_WORDS = 900_000
