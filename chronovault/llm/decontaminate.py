@@ -164,13 +164,14 @@ def _covered(spans) -> Column:
     )
 
 
-def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, most_bits: int = MOST_BITS) -> DataFrame:
+def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, most_bits: int = MOST_BITS, hashed: bool = False) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (ascending as strings) for every row of docs.
 
     Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z lowered. An item's windows are its runs of ``window`` words,
     or all its words if they are fewer; n_hit counts the document's words inside any occurrence of a window. A null or empty
     text has no words; items without words or id hit nothing. Rows of one doc_id are judged each by its own text; a
     repeated item_id counts once. Other columns are not read. An empty benchmark leaves every document clean.
+    ``hashed`` adds text_hash, the xxhash64 of the text, which tells the rows of one doc_id apart.
     """
     def prints_of(frame, id_column, short, passes=None):
         text = F.col("text").cast("string")
@@ -198,7 +199,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     joined = texts.join(by_text, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
     return joined.select(
         F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), *(["text_hash"] if hashed else []),
     )
 
 

@@ -155,14 +155,15 @@ def training_texts(docs: DataFrame, n_docs: int = TRAIN_DOCS, n_bytes: int = TRA
     return out
 
 
-def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees | None = None) -> DataFrame:
+def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees | None = None, hashed: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row of docs.
 
     Trees are learned from the training documents of docs unless given. The prediction reads the whole text alone: the language
     with the fewest bits, of equal ones the first by name. score is its share of the probability all
     languages give the text, spread over the text's length as geometric mean per 8 bytes, from 0 to 1. `und` with score 0 where the text
     is null or has no letter, or no language was learned. held_out is crc32 of the doc_id as text mod 4 = 2, false for a
-    null id. Repeated rows are judged one by one.
+    null id. Repeated rows are judged one by one. ``hashed`` adds text_hash, the xxhash64 of the text, which tells the rows of one
+    doc_id apart.
     """
     trees = trees or ContextTrees(training_texts(docs), order)
 
@@ -181,12 +182,12 @@ def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees |
                 yield pa.RecordBatch.from_arrays([
                     batch["doc_id"].slice(begin, end - begin), batch["held_out"].slice(begin, end - begin),
                     pa.array([names[b] if ok else UNDETERMINED for b, ok in zip(best, letters)], pa.string()),
-                    pa.array(np.where(letters, 1 / shares, 0.0)),
-                ], names=["doc_id", "held_out", "lang_pred", "score"])
+                    pa.array(np.where(letters, 1 / shares, 0.0)), *([batch["text_hash"].slice(begin, end - begin)] if hashed else []),
+                ], names=["doc_id", "held_out", "lang_pred", "score", *(["text_hash"] if hashed else [])])
 
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), text.alias("text"),
-        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), *([F.xxhash64(text).alias("text_hash")] if hashed else []),
     )
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double" + (", text_hash long" if hashed else ""))

@@ -132,7 +132,7 @@ def sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
                 ids = batch["doc_id"].slice(begin + a, len(part))
                 lists = list_array(pa.array(bands), offsets)
                 nodes = pa.array([_node(s) if len(s) and i.is_valid else None for s, i in zip(part, ids)], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), nodes, lists], names=["doc_id", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([ids, batch["text_hash"].slice(begin + a, len(part)), pa.array(sizes), nodes, lists], names=["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
 
 def fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,16 +292,18 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, hashed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs.
 
     Texts are linked where 100 * (common shingles) >= percent * (shingles of either); see ``shingle_sets``. component_id is the
     smallest doc_id that can be reached, kept is true where it is the own one. Texts without words and rows without a
     doc_id are linked with nothing: their component is their own doc_id, and they are kept. Rows that repeat a doc_id are
     judged each by its own text; equal texts are linked. Other columns are not read; an empty table gives no rows.
+    ``hashed`` adds text_hash, the xxhash64 of the text, which tells the rows of one doc_id apart, and component, a number of
+    the linked group, null for what is linked with nothing by rule.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members = stored(texts.mapInArrow(lambda b: sign(b, width), "doc_id long, n_shingles long, node long, bands array<long>"), "signatures")
+    members = stored(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: sign(b, width), "doc_id long, text_hash long, n_shingles long, node long, bands array<long>"), "signatures")
     signed_ = members.where("node IS NOT NULL")
     smallest = signed_.groupBy("node").agg(F.min("doc_id").alias("doc"))
     classes = stored(signed_.dropDuplicates(["node"]).select("node", "n_shingles", "bands").join(smallest, "node"), "classes")
@@ -338,10 +340,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         labels = components(found.links)
     placed = classes.select("node", "doc").join(labels, "node", "left").select("node", "doc", F.coalesce("component", "node").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of = placed.join(least, "component").select("node", "component_id")
-    out = members.select("doc_id", "n_shingles", "node").join(of, "node", "left")
+    of = placed.join(least, "component").select("node", "component", "component_id")
+    out = members.select("doc_id", "text_hash", "n_shingles", "node").join(of, "node", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    more = ["text_hash", "component"] if hashed else []
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *more)
 
 
 def oracle_sql(width: int = 2, percent: int = 80) -> str:

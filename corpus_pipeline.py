@@ -6,7 +6,7 @@ documents. A stage's frame is written and read again before the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronovault.llm import decontaminate, language, line_dedup, superminhash, wordbpe
@@ -16,15 +16,25 @@ from chronovault.llm.common import stored, table
 LEAST_LANGUAGE_SCORE = 0.3
 
 
-def _only(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among the ids, which may hold a null."""
-    ids = kept_ids.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+_KEY = ["_null_id", "_id", "_text_hash"]
+
+
+def _keyed(docs: DataFrame, text_hash: Column) -> DataFrame:
+    """docs with the key of a row, its doc_id, which may be null, and its text's hash, as columns without nulls."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.withColumns(dict(zip(_KEY, (doc_id.isNull(), F.coalesce(doc_id, F.lit(0).cast("long")), text_hash))))
+
+
+def _only(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
+    """The rows of docs whose doc_id and text are those of a row of kept (doc_id, text_hash); ``once``: one of those that are alike in both."""
+    keys = _keyed(kept, F.col("text_hash")).select(*_KEY).distinct()
+    found = _keyed(docs, F.xxhash64(F.col("text").cast("string"))).join(keys, _KEY, "left_semi")
+    return (found.dropDuplicates(_KEY) if once else found).select(*docs.columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters or without a clear language go."""
-    found = language.predict_languages(docs).where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    found = language.predict_languages(docs, hashed=True).where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return _only(docs, found)
 
 
@@ -36,13 +46,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
-    return _only(docs, superminhash.near_duplicates(docs, width=5, percent=80).where("kept"))
+    """One row of each group of near-duplicates stays, the one with the smallest id, of several texts of that id the one with the
+    smallest hash. Rows that are linked with nothing stay, of those with the same id and text one."""
+    kept = superminhash.near_duplicates(docs, width=5, percent=80, hashed=True).where("kept")
+    grouped = kept.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    return _only(docs, grouped.union(kept.where("component IS NULL").select("doc_id", "text_hash")), once=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    found = decontaminate.contaminated_words(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated_words(docs, table(spark, sf_dir, "benchmark"), hashed=True)
     return _only(docs, found.where("n_hit = 0"))
 
 

@@ -59,3 +59,20 @@ def test_odd_and_empty_tables(spark, tmp_path):
             docs = stored(stage(spark, docs, str(tmp_path)), name)
             assert docs.columns == columns
         pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, tmp_path):
+    """A null id and a repeated one, each with a good and a bad text: only the bad one goes."""
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda"
+    clean = ["some clean text of words that no other row has at all here", "another clean text which is about rather different things now"]
+    rows = [(i, t, "en", "s", len(t)) for i, c in ((None, clean[0]), (7, clean[1])) for t in (c, f"{passage} and {c.split()[0]}", "12 34 !")]
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, DOCS)
+    texts = lambda df: sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+    assert texts(pipeline.drop_contaminated(spark, docs, str(tmp_path))) == sorted((str(r[0]), r[1]) for r in rows if passage not in r[1])
+    assert texts(pipeline.identify_language(spark, docs, str(tmp_path))) == sorted((str(r[0]), r[1]) for r in rows if r[1] != "12 34 !")
+
+    long = " ".join(f"word{i}" for i in range(60))
+    near = [(1, long), (7, long + " more"), (7, clean[0]), (7, clean[0]), (8, clean[1]), (8, clean[1] + " "), (None, clean[0]), (None, clean[0])]
+    got = texts(pipeline.dedup_near(spark, spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in near], DOCS), str(tmp_path)))
+    assert [(i, t.strip()) for i, t in got] == sorted([("1", long), ("7", clean[0]), ("8", clean[1]), ("None", clean[0])])
