@@ -262,6 +262,8 @@ def text_parts(texts: list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[int
 
 #: ranks below this take one byte; what is above takes its upper bits and two bytes more
 _SHORT = 240
+#: the leading byte of ranks that need four more
+_WIDE = 255
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -275,20 +277,24 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _pack_ranks(ranks: np.ndarray) -> bytes:
-    """Ranks of words by frequency, below ``_SHORT + (256 - _SHORT) * 65536``: most take one byte."""
+    """Ranks of words by frequency: most take one byte, those from ``_SHORT + (_WIDE - _SHORT) * 65536`` on five."""
     above = np.maximum(ranks - _SHORT, 0)
-    lead = np.where(ranks < _SHORT, ranks, _SHORT + (above >> 16)).astype(np.uint8)
-    rest = (above[ranks >= _SHORT] & 0xFFFF).astype("<u2").view(np.uint8).reshape(-1, 2)
-    return zstandard.ZstdCompressor(level=3).compress(len(lead).to_bytes(8, "little") + lead.tobytes() + np.ascontiguousarray(rest.T).tobytes())
+    lead = np.where(ranks < _SHORT, ranks, np.minimum(_SHORT + (above >> 16), _WIDE)).astype(np.uint8)
+    rest = (above[(lead >= _SHORT) & (lead < _WIDE)] & 0xFFFF).astype("<u2").view(np.uint8).reshape(-1, 2)
+    wide = above[lead == _WIDE].astype("<u4")
+    return zstandard.ZstdCompressor(level=3).compress(len(lead).to_bytes(8, "little") + lead.tobytes() + np.ascontiguousarray(rest.T).tobytes() + wide.tobytes())
 
 
 def _unpack_ranks(data: bytes) -> np.ndarray:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = int.from_bytes(raw[:8], "little")
-    lead, rest = np.frombuffer(raw, np.uint8, n, 8), np.frombuffer(raw, np.uint8, offset=8 + n).reshape(2, -1)
+    lead = np.frombuffer(raw, np.uint8, n, 8)
     out = lead.astype(np.int32)
-    long = lead >= _SHORT
+    long, wide = (lead >= _SHORT) & (lead < _WIDE), lead == _WIDE
+    n_long = int(long.sum())
+    rest = np.frombuffer(raw, np.uint8, 2 * n_long, 8 + n).reshape(2, -1)
     out[long] = _SHORT + ((out[long] - _SHORT) << 16) + np.ascontiguousarray(rest.T).view("<u2").ravel()
+    out[wide] = _SHORT + np.frombuffer(raw[8 + n + 2 * n_long:], "<u4").astype(np.int32)
     return out
 
 

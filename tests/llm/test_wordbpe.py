@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from chronovault.llm.wordbpe import WordNumbers, decode, default_tokenizer, encode, round_trip, word_bpe, word_ids
+from chronovault.llm.wordbpe import WordNumbers, _pack_ranks, _unpack_ranks, decode, default_tokenizer, encode, round_trip, word_bpe, word_ids
 
 from .helpers import corpus, docs, empty, odd
 
@@ -56,3 +56,8 @@ def test_empty_table(spark):
 def test_decoded_hash_is_of_the_text(spark):
     row = decode(encode(docs(spark, ["Hello world"]))).first()
     assert row["decoded"] == "hello</w> world</w>" and hashlib.sha256(row["ids"]).digest()
+
+
+def test_ranks_of_any_number_of_words():
+    for ranks in (np.arange(1_200_000), np.array([0, 239, 240, 983_279, 983_280, 1_048_815, 1_048_816, 2**31 - 1, 5]), np.zeros(0, np.int64)):
+        assert np.array_equal(_unpack_ranks(_pack_ranks(ranks)), ranks)
