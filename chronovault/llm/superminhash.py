@@ -25,7 +25,7 @@ BANDS, BAND_ROWS = 32, 4
 #: pairs whose signatures agree on a smaller share are no links: at 0.8 the share is this low once in 1e10
 LEAST_AGREEMENT = 0.55
 #: for what the first round leaves: so many regroupings of the signature into keys of so many values. Two documents of similarity 0.8 share
-#: none of the keys once in 5e6; two of similarity 0.3 share one in a hundred cases
+#: none of the keys once in 1.3e6; two of similarity 0.3 share one in a hundred cases
 REGROUPINGS, KEY_ROWS = 12, 8
 #: rounds that compare with one member of a bucket before what is left is compared with each other
 STAR_ROUNDS, STAR_SHARE = 2, 4
