@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and the pipeline, with their SQL where SQL can express them."""
+"""The queries op1 to op13, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronovault.session import scratch_path
 
-from . import attention_lm, decontaminate, language, line_dedup, quality, superminhash, token_attribution, token_store, url_filter, wordbpe
+from . import attention_lm, decontaminate, fill_middle, language, line_dedup, quality, spelling, superminhash, token_attribution, token_store, url_filter, wordbpe
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,5 +68,16 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op9_token_counts, op10_near_duplicates)}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql()}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), noise=31)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = fill_middle.restore(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op9_token_counts, op10_near_duplicates, op11_spelling_variants,
+                                                op12_fill_in_middle)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql(),
+                           "op12_fill_in_middle": fill_middle.oracle_sql()}
