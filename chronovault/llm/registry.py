@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronovault.session import scratch_path
 
-from . import attention_lm, decontaminate, fill_middle, language, line_dedup, quality, spelling, superminhash, token_attribution, token_store, url_filter, wordbpe
+from . import attention_lm, decontaminate, fill_middle, language, line_dedup, multi_order, quality, spelling, superminhash, token_attribution, token_store, url_filter, wordbpe
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_order.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_token_store, op4_decontaminate, op5_language, op6_word_bpe, op7_attention_lm, op8_quality_rules, op9_token_counts, op10_near_duplicates, op11_spelling_variants,
-                                                op12_fill_in_middle)}
+                                                op12_fill_in_middle, op13_jaccard_join)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.oracle_sql(), "op4_decontaminate": decontaminate.oracle_sql(), "op10_near_duplicates": superminhash.oracle_sql(), "op2_url_filter": url_filter.oracle_sql(),
-                           "op12_fill_in_middle": fill_middle.oracle_sql()}
+                           "op12_fill_in_middle": fill_middle.oracle_sql(), "op13_jaccard_join": multi_order.oracle_sql()}
