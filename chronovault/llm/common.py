@@ -15,6 +15,9 @@ from chronovault.session import materialise
 #: bytes of text that one vectorised step takes at a time, unless one text is longer
 CHUNK_BYTES = 500_000
 
+#: bytes of a batch that goes to Python or comes from there, unless one row has more
+BATCH_BYTES = 2 << 20
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
@@ -33,8 +36,16 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES, unless the session says otherwise: a task's memory outside the heap is some multiple of them."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's default
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared scratch folder and read back, which cuts lineage."""
+    bounded_batches(df.sparkSession)
     return materialise(df.sparkSession, df, name)
 
 

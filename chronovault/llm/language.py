@@ -14,17 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import crc_mod, text_chunks
+from .common import bounded_batches, crc_mod, text_chunks
 
 #: bytes of context
 ORDER = 3
-#: training texts of a language: the ones with the smallest hashed ids, so many, none longer than TRAIN_BYTES; the
+#: training texts of a language: the ones with the smallest hashes, so many, of each at most the first TRAIN_BYTES; the
 #: documented bound on what the classifier is fitted on
 TRAIN_DOCS, TRAIN_BYTES = 300, 20_000
 UNDETERMINED = "und"
+#: bytes of text judged at a time, unless one text has more; a byte takes some hundred bytes of memory meanwhile
+CHUNK_BYTES = 125_000
 #: training sample dealt to so many parts before the smallest of each language are taken
 _PARTS = 32
 
@@ -106,15 +109,15 @@ class ContextTrees:
         begins = offsets[:-1][np.diff(offsets) > 0]
         first[begins] = True
         # numbers of the strings of k + 1 symbols ending at each place; 0 where not seen or not that long
-        at = np.zeros(len(x), np.int64)
+        at = np.zeros(len(x), np.int32)
         bits = np.zeros((len(x), n), np.float32)
         levels = []
         for k in range(self.order + 1):
-            before = np.zeros(len(x), np.int64)
+            before = np.zeros(len(x), np.int32)
             if k:
                 before[1:] = at[:-1]
                 before[first] = 0
-            at = self.steps[k][before * self.n_symbols + x].astype(np.int64)
+            at = self.steps[k][before.astype(np.int64) * self.n_symbols + x]
             if k:
                 at[before == 0] = 0
             levels.append((before, at))
@@ -135,12 +138,13 @@ class ContextTrees:
 
 
 def training_texts(docs: DataFrame, n_docs: int = TRAIN_DOCS, n_bytes: int = TRAIN_BYTES) -> dict[str, list[bytes]]:
-    """Of each language, the texts of ``n_docs`` training documents: text and lang not null, crc32(doc_id) mod 4 not 2, at most
-    ``n_bytes`` long, with the smallest hashed ids. The bound holds for each language, whatever the table's size."""
+    """Of each language, the texts of ``n_docs`` training rows: text and lang not null, crc32(doc_id) mod 4 not 2, with the smallest
+    hashes of id and text, of equal ones any. Of a longer text the first ``n_bytes`` code points are brought and as many bytes learned. The bound holds
+    for each language, whatever the table's size, and for repeated ids, null ones included."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2) & F.octet_length("text").between(1, n_bytes))
-    rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    # the hash of the last document of each language first, so that no text is moved that is not taken
+    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2) & (F.octet_length("text") > 0))
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    # the hash of the last row of each language first, so that no text is moved that is not taken
     ranked = rows.select("lang", "h", F.pmod("h", F.lit(_PARTS)).alias("part"))
     for keys in (["lang", "part"], ["lang"]):
         ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("rank") <= n_docs)
@@ -148,29 +152,21 @@ def training_texts(docs: DataFrame, n_docs: int = TRAIN_DOCS, n_bytes: int = TRA
     if not last:
         return {}
     limits = docs.sparkSession.createDataFrame(last, "lang string, last long")
-    rows = rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("last"))
+    rows = rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("last")).select("lang", "h", F.substring("text", 1, n_bytes).alias("text"))
+    # rows that are alike share a hash, so the last hash may stand for more rows than the bound has room for
+    taken = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= n_docs)
     out: dict[str, list[bytes]] = {}
-    for row in rows.select("lang", "text", "h").orderBy("lang", "h", "text").toLocalIterator():
-        out.setdefault(row["lang"], []).append(row["text"].encode())
+    for row in taken.orderBy("lang", "rank").toLocalIterator():
+        out.setdefault(row["lang"], []).append(row["text"].encode()[:n_bytes])
     return out
 
 
-def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees | None = None, hashed: bool = False) -> DataFrame:
-    """doc_id, held_out, lang_pred and score for every row of docs.
-
-    Trees are learned from the training documents of docs unless given. The prediction reads the whole text alone: the language
-    with the fewest bits, of equal ones the first by name. score is its share of the probability all
-    languages give the text, spread over the text's length as geometric mean per 8 bytes, from 0 to 1. `und` with score 0 where the text
-    is null or has no letter, or no language was learned. held_out is crc32 of the doc_id as text mod 4 = 2, false for a
-    null id. Repeated rows are judged one by one. ``hashed`` adds text_hash, the xxhash64 of the text, which tells the rows of one
-    doc_id apart.
-    """
-    trees = trees or ContextTrees(training_texts(docs), order)
-
+def _scored(rows: DataFrame, trees: ContextTrees, given: list[str]) -> DataFrame:
+    """The given columns of the rows, whose columns text and letters are judged, with lang_pred and score."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*trees.languages, UNDETERMINED]
         for batch in batches:
-            for begin, end, chunk, offsets in text_chunks(batch["text"]):
+            for begin, end, chunk, offsets in text_chunks(batch["text"], CHUNK_BYTES):
                 lengths = trees.code_lengths(chunk, offsets)
                 letters = batch["letters"].slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(bool)
                 if not trees.languages:
@@ -180,14 +176,44 @@ def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees |
                 units = np.maximum(np.diff(offsets) / 8.0, 1.0)
                 shares = np.exp2((lengths.min(axis=1, keepdims=True) - lengths) / units[:, None]).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([
-                    batch["doc_id"].slice(begin, end - begin), batch["held_out"].slice(begin, end - begin),
-                    pa.array([names[b] if ok else UNDETERMINED for b, ok in zip(best, letters)], pa.string()),
-                    pa.array(np.where(letters, 1 / shares, 0.0)), *([batch["text_hash"].slice(begin, end - begin)] if hashed else []),
-                ], names=["doc_id", "held_out", "lang_pred", "score", *(["text_hash"] if hashed else [])])
+                    *[batch[c].slice(begin, end - begin) for c in given],
+                    pa.array([names[b] if ok else UNDETERMINED for b, ok in zip(best, letters)], pa.string()), pa.array(np.where(letters, 1 / shares, 0.0)),
+                ], names=[*given, "lang_pred", "score"])
+
+    schema = StructType([*[rows.schema[c] for c in given], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(score, schema)
+
+
+def _letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters")
 
+
+def predict_languages(docs: DataFrame, order: int = ORDER, trees: ContextTrees | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred and score for every row of docs.
+
+    Trees are learned from the training documents of docs unless given. The prediction reads the whole text alone: the language
+    with the fewest bits, of equal ones the first by name. score is its share of the probability all
+    languages give the text, spread over the text's length as geometric mean per 8 bytes, from 0 to 1. `und` with score 0 where the text
+    is null or has no letter, or no language was learned. held_out is crc32 of the doc_id as text mod 4 = 2, false for a
+    null id. Repeated rows are judged one by one. Columns but doc_id, text and lang are not read; an empty table gives no rows.
+    """
+    trees = trees or ContextTrees(training_texts(docs), order)
     text = F.col("text").cast("string")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), text.alias("text"),
-        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), *([F.xxhash64(text).alias("text_hash")] if hashed else []),
-    )
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double" + (", text_hash long" if hashed else ""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), text.alias("text"), _letters(text))
+    return _scored(rows, trees, ["doc_id", "held_out"])
+
+
+def clear_language(docs: DataFrame, margin: float, order: int = ORDER, trees: ContextTrees | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is clear: not `und`, and a score of at least 1/n + margin * (1 - 1/n) for n
+    languages, 1/n being what each of n equal ones has. Rows are judged and passed on where they lie; text becomes a string. Columns
+    may have any names. Without a learned language no row is clear."""
+    bounded_batches(docs.sparkSession)
+    trees = trees or ContextTrees(training_texts(docs), order)
+    even = 1 / max(1, len(trees.languages))
+    names = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    given = ["text" if name == "text" else f"c{i}" for i, name in enumerate(names)]
+    text = F.col(f"c{names.index('text')}").cast("string")
+    rows = numbered.select(*[text.alias("text") if g == "text" else F.col(g) for g in given], _letters(text))
+    found = _scored(rows, trees, given).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= even + margin * (1 - even)))
+    return found.select(*given).toDF(*names)

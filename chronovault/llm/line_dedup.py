@@ -174,6 +174,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     lines = stored(texts.mapInArrow(lambda batches: pack_lines(batches, min_chars), LINES), "lines")
     total = lines.agg(F.sum(F.size("numbers"))).first()[0] or 0
     shards = max(1, -(-total // KEYS_PER_SHARD))
+    count_kind = np.min_scalar_type(min_docs)  # counts beyond min_docs need not be told apart
 
     def key_docs(batches):
         def rows(parts):
@@ -212,7 +213,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
         return pa.table({
             "shard": pa.array([shard["shard"][0].as_py()], pa.int64()), "sizes": pa.array([index.sizes], pa.list_(pa.int64())),
             "bits": blob(index.bits), "rest": blob(index.rest), "fingerprints": blob(low[main]),
-            "counts": blob(count[main].astype(np.uint8)), "keepers": blob(keeper[main]),
+            "counts": blob(np.minimum(count[main], min_docs).astype(count_kind)), "keepers": blob(keeper[main]),
             "aside": blob(np.stack([high[aside], low[aside], count[aside].astype(np.uint64), keeper[aside].view(np.uint64)])),
         })
 
@@ -240,7 +241,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
         if asked.num_rows and shard.num_rows:
             get = lambda name, kind: np.frombuffer(shard[name][0].as_py(), kind)
             index = MinimalPerfectHash(shard["sizes"][0].as_py(), get("bits", np.uint64), get("rest", np.uint64))
-            fingerprints, counts, keepers = get("fingerprints", np.uint64), get("counts", np.uint8), get("keepers", np.int64)
+            fingerprints, counts, keepers = get("fingerprints", np.uint64), get("counts", count_kind), get("keepers", np.int64)
             aside = get("aside", np.uint64).reshape(4, -1)
             for block, high, low in zip(asked["block"].to_pylist(), asked["high"], asked["low"]):
                 high, low = _unsigned(high.values.to_numpy(zero_copy_only=False)), _unsigned(low.values.to_numpy(zero_copy_only=False))
@@ -299,18 +300,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     document when documents are counted, and each loses its own lines. Rows without a doc_id are not counted and lose nothing.
     Other columns are passed on; of theirs, ones named n_lines or n_dropped are replaced. An empty table gives an empty one.
     """
-    drops = dropped_lines(docs, min_chars, min_docs).dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("_drop_id"), F.col("text_hash").alias("_drop_hash"), F.col("dropped").alias("_dropped")
-    )
     docs = docs.drop("n_lines", "n_dropped")
-    text = F.col("text").cast("string")
-    joined = docs.join(drops, (F.col("doc_id").cast("long") == F.col("_drop_id")) & (F.xxhash64(text) == F.col("_drop_hash")), "left")
-    lost = F.col("_dropped").isNotNull()
+    names = docs.columns
+    drops = dropped_lines(docs, min_chars, min_docs).dropDuplicates(["doc_id", "text_hash"])
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])  # the frame may have columns of any names
+    text, doc_id = F.col(f"c{names.index('text')}").cast("string"), F.col(f"c{names.index('doc_id')}").cast("long")
+    joined = numbered.join(drops, (doc_id == drops["doc_id"]) & (F.xxhash64(text) == drops["text_hash"]), "left")
+    lost = F.col("dropped").isNotNull()
     return joined.select(
-        *[F.when(lost, _without_lines(F.when(lost, text), F.col("_dropped"))).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.when(text.isNull(), F.lit(1)).otherwise(F.regexp_count(text, F.lit("\n")) + 1).cast("long").alias("n_lines"),
-        F.when(lost, F.size("_dropped")).otherwise(0).cast("long").alias("n_dropped"),
-    )
+        *[F.when(lost, _without_lines(F.when(lost, text), F.col("dropped"))).otherwise(text) if c == "text" else F.col(f"c{i}") for i, c in enumerate(names)],
+        F.when(text.isNull(), F.lit(1)).otherwise(F.regexp_count(text, F.lit("\n")) + 1).cast("long"),
+        F.when(lost, F.size("dropped")).otherwise(0).cast("long"),
+    ).toDF(*names, "n_lines", "n_dropped")
 
 
 def oracle_sql() -> str:

@@ -17,16 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, signed, stored
-from .components import components
 from .superminhash import _node, oracle_sql as components_sql, shingle_sets
-from .tiles import grouped, mixed, tiled_links, verified
+from .tiles import pairs_of, settle, verified
 
 #: bytes of text of a block
 BLOCK_BYTES = 16_000_000
 #: the share of a set, in percent, that the first prefix has beyond what the similarity itself asks for
 SPARE = 35
-#: comparisons with one member of each bucket before what is left meets tile by tile
-STAR_ROUNDS = 2
 
 _SALTS = [np.uint64(s) for s in (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9)]
 
@@ -140,10 +137,6 @@ def keyed_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
         choose, "doc_id long, n long, node long, a array<long>, b array<long>, c array<long>, shingles binary")
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of one bucket whose sizes allow a link and which share a token in each further order."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("b").alias(f"b_{c}"), F.col("c").alias(f"c_{c}"))
@@ -167,24 +160,10 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     keys = classes.select("node", F.explode("a").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre <> other").drop("other")
     buckets = stored(keys.join(shared, "key"), "buckets")
-    pairs = _pairs(buckets.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")))
+    pairs = pairs_of(buckets.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")))
     links = stored(verified(candidates(pairs, classes, percent), classes, percent), "links")
-    labels = components(links)
-    rest = stored(mixed(buckets, labels), "mixed")
-    for turn in range(1, STAR_ROUNDS):
-        if rest.isEmpty():
-            break
-        # members outside the largest component of their bucket meet one member of it
-        sizes = labels.groupBy("component").agg(F.count("*").alias("n_nodes"))
-        rank = F.struct(-F.coalesce("n_nodes", F.lit(1)), "component", F.xxhash64("node", F.lit(turn)))
-        centres = rest.join(sizes, "component", "left").groupBy("key").agg(F.min_by(F.struct("node", "component"), rank).alias("c"))
-        met = rest.join(centres, "key").where("component <> c.component").select(F.col("node").alias("x"), F.col("c.node").alias("y"))
-        links = links.union(stored(verified(candidates(_pairs(met), classes, percent), classes, percent), "links"))
-        labels = components(links)
-        rest = stored(mixed(buckets, labels), "mixed")
-    if not rest.isEmpty():
-        links = links.union(stored(tiled_links(grouped(rest, labels), classes, percent, ("a", "b", "c")), "links"))
-        labels = components(links)
+    test = lambda met: verified(candidates(met, classes, percent), classes, percent)
+    labels = settle(buckets, links, test, classes, percent, ("a", "b", "c"))
     linked = members.select("doc_id", "n", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return linked.join(least, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

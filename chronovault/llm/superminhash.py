@@ -2,8 +2,8 @@
 
 Documents with the same shingle set are one class from the start. Classes that agree on a band share a bucket. A
 bucket never gives all its pairs: each member is first compared with one centre, then, in buckets that still hold more
-than one component, with a centre of another choice, and only what then still belongs to different components is compared with
-each other, as nothing less would be exact.
+than one component, with a centre of another choice, and what then still belongs to different components meets tile by tile, as
+nothing less would be exact.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import NON_SPACE, list_array, mix, ragged, signed, stored, text_chunks, word_hashes
 from .components import components
-from .decontaminate import gram_hashes
+from .decontaminate import _bitmap as id_bitmap, gram_hashes
+from .tiles import mixed, pairs_of, settle, verified
 
 #: bands of four 16-bit signature values: 128 permutation ranks; at a similarity of 0.8 a link is missed once in 2e7
 BANDS, BAND_ROWS = 32, 4
@@ -27,10 +28,8 @@ LEAST_AGREEMENT = 0.55
 #: for what the first round leaves: so many regroupings of the signature into keys of so many values. Two documents of similarity 0.8 share
 #: none of the keys once in 1.3e6; two of similarity 0.3 share one in a hundred cases
 REGROUPINGS, KEY_ROWS = 12, 8
-#: rounds that compare with one member of a bucket before what is left is compared with each other
-STAR_ROUNDS, STAR_SHARE = 2, 4
-#: bits of the map of documents whose sets are wanted
-MAP_BITS = 1 << 26
+#: most bits of the map of documents whose sets are wanted
+MAP_BITS = 1 << 28
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _TRACED = 6
@@ -156,140 +155,31 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             x, y = [batch[c].flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(batch.num_rows, -1) for c in ("bands_a", "bands_b")]
             batch = batch.filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEMENT))
-        yield batch.select(["a", "b", "doc_a", "doc_b"])
+        yield batch.select(["a", "b"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch["set_a"], batch["set_b"]):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            both = np.sort(np.concatenate([x, y]))
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= percent * (len(both) - common))
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-
-def _wanted_map(docs: DataFrame) -> np.ndarray:
-    """A map of fixed size of hashed doc_ids; what it lets through by chance is dropped by a later join."""
-    bit = F.shiftrightunsigned(F.xxhash64("doc"), 64 - (MAP_BITS.bit_length() - 1))
-    rows = docs.select(F.floor(bit / 32768).cast("long").alias("bucket"), (bit % 32768).cast("long").alias("bit"))
-    out = np.zeros(MAP_BITS // 8, np.uint8)
-    for row in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap")).toLocalIterator():
-        out[row["bucket"] * 4096:(row["bucket"] + 1) * 4096] = np.frombuffer(row["bitmap"], np.uint8)
-    return out
-
-
-class _Links:
-    """Verified links between classes, over several rounds of candidate pairs."""
-
-    def __init__(self, texts: DataFrame, classes: DataFrame, width: int, percent: int):
-        self.texts, self.classes, self.width, self.percent = texts, classes, width, percent
-        self.tested: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """(node, shingles) of classes (node, doc): their texts are read again, so that sets of other classes are never stored."""
-        bitmap = _wanted_map(nodes.select("doc").distinct())
-        shift, width = np.uint64(64 - (MAP_BITS.bit_length() - 1)), self.width
-
-        def sets(batches):
-            for batch in batches:
-                bit = (batch["key"].to_numpy(zero_copy_only=False).view(np.uint64) >> shift).astype(np.int64)
-                batch = batch.filter(pa.array((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
-                for _, _, found in shingle_sets(batch["text"], width):
-                    found = [s for s in found if len(s)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([_node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
-
-        texts = self.texts.where("doc_id IS NOT NULL").withColumn("key", F.xxhash64("doc_id"))
-        found = texts.mapInArrow(sets, "node long, shingles binary").join(nodes.select("node").distinct(), "node", "left_semi")
-        return stored(found.dropDuplicates(["node"]), "sets")
-
-    def test(self, pairs: DataFrame) -> None:
-        """Pairs (a, b), a < b, of classes; those of earlier rounds are left out."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if self.links is not None and pairs.isEmpty():
-            return
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        side = lambda c: self.classes.select(F.col("node").alias(c), F.col("bands").alias(f"bands_{c}"), F.col("doc").alias(f"doc_{c}"))
-        near = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_agree, "a long, b long, doc_a long, doc_b long"), "near")
-        own = self.sets(near.select(F.col("a").alias("node"), F.col("doc_a").alias("doc")).union(near.select("b", "doc_b")).distinct())
-        set_of = lambda c: own.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-        both = near.select("a", "b").join(set_of("a"), "a").join(set_of("b"), "b")
-        percent = self.percent
-        links = stored(both.mapInArrow(lambda batches: _verify(batches, percent), "a long, b long"), "links")
-        self.links = links if self.links is None else self.links.union(links)
-
-
-def _residuals(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of each set against its group's pivot: its size, the common shingles, and those of the other shingles that must meet.
-
-    Two linked sets x, y have at least percent / (100 + percent) * (|x| + |y|) common shingles, at most min(|x & c|, |y & c|) of
-    them in the pivot c. So they share shingles outside of it, unless that minimum alone is enough. x needs at least
-    percent / 100 * |x| - |x & c| such shared ones, whence all but so many less one, in any fixed order, hold one of them.
-    """
-    for batch in batches:
-        sizes, common, rest = [], [], []
-        for x, c in zip(batch["shingles"], batch["pivot"]):
-            x = np.frombuffer(x.as_buffer(), np.uint64)
-            c = c.values.to_numpy(zero_copy_only=False).view(np.uint64) if c.is_valid else x[:0]
-            outside = x[~np.isin(x, c, assume_unique=True)]
-            sizes.append(len(x))
-            common.append(len(x) - len(outside))
-            needed = max(1, -(-percent * len(x) // 100) - common[-1])
-            rest.append(signed(outside[:max(0, len(outside) - needed + 1)]))
-        yield pa.RecordBatch.from_arrays([
-            batch["group"], batch["node"], batch["component"], pa.array(sizes, pa.int64()), pa.array(common, pa.int64()), pa.array(rest, pa.list_(pa.int64())),
-        ], names=["group", "node", "component", "n", "common", "rest"])
-
-
-def _residual_pairs(found: _Links, rest: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and can be links at all.
-
-    A bucket belongs to the group of its largest component. The group's pivot is the set of shingles that half of its members
-    have. Members of one component are not paired, and others only where what the pivot does not have, or the sizes, allow a link.
+def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the classes wanted (node, doc): their texts are read again, so that the sets of others are never stored.
+
+    A bitmap of hashed ids, its size by their number up to MAP_BITS, lets texts through where they lie; what it lets through by chance
+    is dropped by the join that follows.
     """
-    def exploded(batches):
+    wanted = stored(wanted, "wanted")
+    bitmap = id_bitmap(wanted.select(F.xxhash64("doc").alias("print")).distinct(), MAP_BITS)
+    shift = np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
+
+    def sets(batches):
         for batch in batches:
-            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch["shingles"]]
-            yield pa.RecordBatch.from_arrays([batch["group"], pa.array(sets, pa.list_(pa.int64()))], names=["group", "shingles"])
-
-    sizes = labels.groupBy("component").agg(F.count("*").alias("n_nodes"))
-    sized = rest.join(sizes, "component", "left")
-    group = F.max_by("component", F.struct(F.coalesce("n_nodes", F.lit(1)), "component"))
-    groups = sized.groupBy("key").agg(group.alias("group"))
-    placed = stored(rest.join(groups, "key").select("group", "node", "component").distinct(), "groups")
-    own = found.sets(placed.select("node").distinct().join(found.classes.select("node", "doc"), "node"))
-    members = placed.groupBy("group").agg(F.count("*").alias("n_members"))
-    shingles = placed.join(own, "node").select("group", "shingles").mapInArrow(exploded, "group long, shingles array<long>").select("group", F.explode("shingles").alias("shingle"))
-    common = shingles.groupBy("group", "shingle").agg(F.count("*").alias("n")).join(members, "group").where("2 * n >= n_members")
-    pivots = common.groupBy("group").agg(F.collect_list("shingle").alias("pivot"))
-    against = placed.join(own, "node").join(pivots, "group", "left").mapInArrow(
-        lambda batches: _residuals(batches, percent), "group long, node long, component long, n long, common long, rest array<long>")
-    against = stored(against, "residuals")
-    outside = against.where("component <> group").select(
-        "group", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("common").alias("ix"), F.col("rest").alias("rx"))
-    every = against.select("group", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("common").alias("iy"), F.col("rest").alias("ry"))
-    different = F.expr(f"x <> y AND cx <> cy AND 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    sharing = outside.select("group", "x", "cx", "nx", F.explode("rx").alias("shingle")).join(
-        every.select("group", "y", "cy", "ny", F.explode("ry").alias("shingle")), ["group", "shingle"]).where(different)
-    # where the part in the pivot is enough, the partner has one of these sizes
-    largest = F.least(F.floor(F.col("ix") * (100 + percent) / percent) - F.col("nx"), F.floor(F.col("nx") * 100 / percent)).cast("long")
-    least = F.ceil(F.col("nx") * percent / 100).cast("long")
-    sizes_of = outside.drop("rx").withColumns({"least": least, "largest": largest}).where("least <= largest").withColumn("ny", F.explode(F.sequence("least", "largest")))
-    enough = F.expr(f"(100 + {percent}) * least(ix, iy) >= {percent} * (nx + ny)")
-    by_size = sizes_of.join(every.drop("ry"), ["group", "ny"]).where(different & enough)
-    return _pairs(sharing.select("x", "y").union(by_size.select("x", "y")))
-
-
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            bit = (batch["key"].to_numpy(zero_copy_only=False).view(np.uint64) >> shift).astype(np.int64)
+            batch = batch.filter(pa.array((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+            for _, _, found in shingle_sets(batch["text"], width):
+                found = [s for s in found if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
+
+    keyed = texts.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("key"), "text")
+    found = keyed.mapInArrow(sets, "node long, shingles binary").join(wanted.select("node"), "node", "left_semi")
+    return stored(found.dropDuplicates(["node"]), "sets")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, hashed: bool = False) -> DataFrame:
@@ -310,34 +200,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, hashed:
     keys = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre <> other").drop("other")
     buckets = stored(keys.join(shared, "key"), "buckets")
-    found = _Links(texts, classes, width, percent)
-    found.test(_pairs(buckets.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y"))))
-    labels = components(found.links)
+    sets = _sets(texts, buckets.select("node").distinct().join(classes.select("node", "doc"), "node"), width)
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("bands").alias(f"bands_{c}"))
 
-    def mixed(members: DataFrame) -> DataFrame:
-        """The members (key, node) of buckets that hold more than one component, with it and the class's size."""
-        placed = stored(members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
-        several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        return placed.join(several.select("key"), "key", "left_semi")
+    def test(pairs: DataFrame) -> DataFrame:
+        near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_agree, "a long, b long")
+        return verified(near, sets, percent)
 
+    links = stored(test(pairs_of(buckets.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")))), "links")
+    labels = components(links)
     several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key")  # a pair has been compared
-    left = mixed(buckets.select("key", "node").join(several, "key", "left_semi")).select("node").distinct()
+    left = mixed(buckets.select("key", "node").join(several, "key", "left_semi"), labels).select("node").distinct()
     keyed = classes.join(left, "node", "left_semi").select("node", "bands").mapInArrow(fine_keys, "node long, keys array<long>")
     finer = stored(keyed.select("node", F.explode("keys").alias("key")), "finer")
-    for turn in range(0 if finer.isEmpty() else STAR_ROUNDS):
-        # each turn takes its share of the buckets; what it does not find is left to the last step, which takes all
-        rest = stored(mixed(finer.where(F.pmod("key", F.lit(STAR_SHARE)) == turn)), "mixed")
-        # in each bucket the members outside its largest component meet one member of that
-        sizes = labels.groupBy("component").agg(F.count("*").alias("n_nodes"))
-        sized = rest.join(sizes, "component", "left").withColumn("n_nodes", F.coalesce("n_nodes", F.lit(1)))
-        rank = F.struct(-F.col("n_nodes"), "component", F.xxhash64("key", "node", F.lit(turn)))
-        centres = sized.groupBy("key").agg(F.min_by(F.struct("node", "component"), rank).alias("c"))
-        joined = rest.join(centres, "key").where("component <> c.component")
-        found.test(_pairs(joined.select(F.col("node").alias("x"), F.col("c.node").alias("y"))))
-        labels = components(found.links)
     if not finer.isEmpty():
-        found.test(_residual_pairs(found, stored(mixed(finer), "mixed"), labels, percent))
-        labels = components(found.links)
+        labels = settle(finer, links, test, sets, percent)
     placed = classes.select("node", "doc").join(labels, "node", "left").select("node", "doc", F.coalesce("component", "node").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
     of = placed.join(least, "component").select("node", "component", "component_id")

@@ -9,7 +9,7 @@ any size is spread over tasks.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ragged, stored
+from .components import components
 
 #: sets of a tile, and the bytes of their elements, unless one set has more
 TILE_ROWS, TILE_BYTES = 512, 2_000_000
@@ -166,3 +167,32 @@ def tiled_links(members: DataFrame, sets: DataFrame, percent: int, orders: tuple
     rows = asked.join(tile_of.join(sets.select("node", "shingles", *orders), "node"), "id").select("pair", "side", "node", "component", "shingles", *orders)
     compare = lambda table: compare_tiles(table, percent, list(orders))
     return rows.groupBy("pair").applyInArrow(compare, "a long, b long")
+
+
+def settle(buckets: DataFrame, links: DataFrame, test: Callable[[DataFrame], DataFrame], sets: DataFrame, percent: int, orders: tuple[str, ...] = (), rounds: int = 1) -> DataFrame:
+    """(node, component) once no bucket (key, node) holds two components that a link joins; links (a, b) are those known before.
+
+    In each round, the members outside their bucket's largest component meet one member of it, and ``test`` gives the pairs (a, b) that are
+    links; what is then left meets tile by tile, which decides it. ``sets`` are those of ``tiled_links``.
+    """
+    labels = components(links)
+    rest = stored(mixed(buckets, labels), "mixed")
+    for turn in range(rounds):
+        if rest.isEmpty():
+            return labels
+        sizes = labels.groupBy("component").agg(F.count("*").alias("n_nodes"))
+        # ranked by a hash of the node alone, so that the buckets of one group choose few centres
+        rank = F.struct(-F.coalesce("n_nodes", F.lit(1)), "component", F.xxhash64("node", F.lit(turn)))
+        centres = rest.join(sizes, "component", "left").groupBy("key").agg(F.min_by(F.struct("node", "component"), rank).alias("c"))
+        met = rest.join(centres, "key").where("component <> c.component").select(F.col("node").alias("x"), F.col("c.node").alias("y"))
+        links = links.union(stored(test(pairs_of(met)), "links"))
+        labels = components(links)
+        rest = stored(mixed(buckets, labels), "mixed")
+    if rest.isEmpty():
+        return labels
+    return components(links.union(stored(tiled_links(grouped(rest, labels), sets, percent, orders), "links")))
+
+
+def pairs_of(df: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b), a < b, of the rows (x, y)."""
+    return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from chronovault.llm.language import ContextTrees, predict_languages
+from chronovault.llm.language import ContextTrees, predict_languages, training_texts
 
 from .helpers import DOCS, empty, odd
 
@@ -79,3 +79,11 @@ def test_odd_rows(spark):
     assert {1, 2, 3, 100} <= unknown and 101 not in unknown and all(r["score"] == 0 for r in got if r["lang_pred"] == "und")
     assert predict_languages(empty(spark)).collect() == []
     assert {r["lang_pred"] for r in predict_languages(spark.createDataFrame([(1, "abc", None, "s", 1)], DOCS)).collect()} == {"und"}
+
+
+def test_training_is_bounded_and_takes_long_texts(spark):
+    same = [(1, f"text {i} of one id", "en", "s", 1) for i in range(50)] + [(None, "alike", "de", "s", 1)] * 50
+    long = [(i, "ein langer Text " * 3000, "de", "s", 1) for i in range(100, 104)]
+    found = training_texts(spark.createDataFrame(same + long, DOCS), n_docs=7, n_bytes=1000)
+    assert {lang: len(texts) for lang, texts in found.items()} == {"en": 7, "de": 7}
+    assert max(len(t) for texts in found.values() for t in texts) <= 1000

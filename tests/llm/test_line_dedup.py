@@ -66,3 +66,10 @@ def test_rows_of_one_id_are_one_document(spark):
     line = "one line that is long enough"
     frame = spark.createDataFrame([(1, line), (1, line + "\nx"), (2, line), (2, line)], "doc_id long, text string")
     assert result(frame) == brute([(1, line), (1, line + "\nx"), (2, line), (2, line)])
+
+
+def test_more_documents_than_a_byte_counts(spark):
+    line = "one line that each of the documents holds"
+    frame = docs(spark, [line + f"\nown {i}" for i in range(300)])
+    assert sum(r["n_dropped"] for r in dedup_lines(frame, min_docs=260).collect()) == 299
+    assert sum(r["n_dropped"] for r in dedup_lines(frame, min_docs=301).collect()) == 0

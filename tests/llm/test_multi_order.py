@@ -33,11 +33,10 @@ def near_copies(seed, n, length=60, most=6):
     return out
 
 
-@pytest.mark.parametrize("block_bytes, tile_rows, rounds", [(16_000_000, 512, 2), (2_000, 7, 1)])
-def test_against_brute_force(spark, monkeypatch, block_bytes, tile_rows, rounds):
+@pytest.mark.parametrize("block_bytes, tile_rows", [(16_000_000, 512), (2_000, 7)])
+def test_against_brute_force(spark, monkeypatch, block_bytes, tile_rows):
     """Random texts, chains, large groups of near copies around the threshold, a passage most texts hold; also in small blocks and tiles."""
     monkeypatch.setattr(multi_order, "BLOCK_BYTES", block_bytes)
-    monkeypatch.setattr(multi_order, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(tiles, "TILE_ROWS", tile_rows)
     rng = random.Random(5)
     texts = corpus(6, 120)[0] + near_copies(1, 120) + near_copies(2, 60, 200, 12)

@@ -76,3 +76,30 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark, tmp_path):
     near = [(1, long), (7, long + " more"), (7, clean[0]), (7, clean[0]), (8, clean[1]), (8, clean[1] + " "), (None, clean[0]), (None, clean[0])]
     got = texts(pipeline.dedup_near(spark, spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in near], DOCS), str(tmp_path)))
     assert [(i, t.strip()) for i, t in got] == sorted([("1", long), ("7", clean[0]), ("8", clean[1]), ("None", clean[0])])
+
+
+def test_columns_of_any_name_come_through(spark, tmp_path):
+    """Columns named like the stages' own, and names with dots and quotes, keep their values."""
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ["_id", "_null_id", "_text_hash", "key0", "key_0", "_drop_id", "_drop_hash", "_dropped", "dropped", "text_hash", "component", "c0", "c1", "lang_pred", "score", "a.b", "x`y", "letters"]
+    line = "a line of words that many documents have among their own"
+    texts = [f"some clean text number {i} of words that no other row has at all here\n{line}" for i in range(6)] + [f"{passage} and more", "12 34 !", None]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1, *["keep-me"] * len(names)) for i, t in enumerate(texts)], DOCS + "".join(f", `{n.replace('`', '``')}` string" for n in names))
+    docs = frame
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == frame.columns
+        assert {v for r in docs.collect() for v in tuple(r)[5:]} == {"keep-me"}
+    assert len([r for r in docs.collect() if r["text"].startswith("some clean")]) == docs.count() > 0
+
+
+def test_a_foreign_text_goes_and_short_clean_ones_stay(spark):
+    rows = language_docs(120)
+    foreign = "жили были дед и баба ели кашу с молоком рассердился дед на бабу хлоп по пузу кулаком " * 3
+    short = [(900 + i, " ".join(r[1].split()[:6]), *r[2:]) for i, r in enumerate(rows[:24])]
+    docs = spark.createDataFrame(rows + short + [(990, foreign, None, "s", 1)], DOCS)
+    kept = {r["doc_id"] for r in pipeline.identify_language(spark, docs, "").collect()}
+    assert {r[0] for r in rows} <= kept and {r[0] for r in short} <= kept
+
+
