@@ -27,6 +27,13 @@ def where_in(df: DataFrame, column: str, values: Iterable[object] | DataFrame |
     return df.where(F.col(column).isin(*values))
 
 
+def where_not_in(df: DataFrame, column: str, values: Iterable[object] | DataFrame) -> DataFrame:
+    """The rows that ``where_in`` leaves out; null is in no list."""
+    if isinstance(values, DataFrame):
+        return df.join(values.select(column), column, "left_anti")
+    return df.where(~F.coalesce(F.col(column).isin(*values), F.lit(False)))
+
+
 def business_range(df: DataFrame, start=None, end=None, end_inclusive: bool = True) -> DataFrame:
     day = F.col("business_date")
     if start is not None:

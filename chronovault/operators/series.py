@@ -68,17 +68,37 @@ def gap_fill(
     )
 
 
-def missing_dates(
+def missing_ranges(
     facts: DataFrame, assets: Assets, start, end, source_id: str | None = None
 ) -> DataFrame:
-    """The (asset, date) pairs of the range without any row, markers counting as rows."""
+    """The gaps of the range without any row, as (asset_id, first_date, last_date, days), markers counting as rows.
+
+    An asset's distinct dates, with the days around the range as fences, are islands; a gap lies between two
+    neighbours more than a day apart. No calendar is built: rows follow the dates that exist and the gaps.
+    Requested assets stand once in the result, however often they are asked for; a null asset has no dates.
+    """
+    first, last = check_range(start, end)
     assets, facts = _asset_list(facts, assets)
-    existing = business_range(where_equal(facts, data_source_id=source_id), start, end)
-    return calendar(assets, start, end).join(
-        existing.select("asset_id", "business_date").distinct(), ["asset_id", "business_date"], "left_anti"
+    existing = business_range(where_equal(facts, data_source_id=source_id), start, end).where("asset_id IS NOT NULL").select("asset_id", "business_date")
+    fences = F.explode(F.array(F.date_sub(F.lit(first), 1), F.date_add(F.lit(last), 1)))
+    fenced = assets.select("asset_id", fences.alias("business_date"))
+    dates = existing.unionByName(fenced).distinct()
+    following = F.lead("business_date").over(Window.partitionBy("asset_id").orderBy("business_date"))
+    gaps = dates.withColumn("_next", following).where(F.datediff("_next", "business_date") > 1)
+    return gaps.select(
+        "asset_id", F.date_add("business_date", 1).alias("first_date"), F.date_sub("_next", 1).alias("last_date"),
+        (F.datediff("_next", "business_date") - 1).alias("days"),
     )
 
 
+def missing_dates(
+    facts: DataFrame, assets: Assets, start, end, source_id: str | None = None
+) -> DataFrame:
+    """The (asset, date) pairs of the range without any row, markers counting as rows: the days of the gaps."""
+    gaps = missing_ranges(facts, assets, start, end, source_id)
+    return gaps.select("asset_id", F.explode(F.sequence("first_date", "last_date")).alias("business_date"))
+
+
 def nearest_records(wanted: DataFrame, candidates: DataFrame, payload: Sequence[str]) -> DataFrame:
     """For each wanted (asset, date) the candidate of the asset with the closest date.
 

@@ -73,6 +73,54 @@ def latest_by_asset(
     return latest if limit is None else top_versions(latest, ["asset_id"], [F.desc("business_date")], limit)
 
 
+def asof_join(requests: DataFrame, facts: DataFrame, keys: Sequence[str] = ("asset_id", "business_date"), tombstones: str = "ignore") -> DataFrame:
+    """Each request with the newest version of its key that was known at its ``instant``, null columns where there was none.
+
+    ``requests`` has the keys, ``instant`` (a timestamp) and any further columns; every request stays, repeated ones too. A
+    request without an instant asks for the newest version, one with a null key finds nothing; versions without a system date are
+    never known. Of versions of one system date the largest id is the newest. ``tombstones`` as in ``pick_latest``; with ``apply`` a
+    marker that wins gives nulls. The versions' columns but the keys are added; a request's column of the same name is
+    replaced, so rename it before.
+
+    Requests and versions stand in one order of system time, and a request takes the last version before it. The order is
+    cut into cells of (key, system hour): what is in a task is one hour of one key, or one row for each cell of a key.
+    """
+    if tombstones not in ("ignore", "include", "apply"):
+        raise ValueError(f"unknown tombstone mode: {tombstones}")
+    keys = list(keys)
+    added = [c for c in facts.columns if c not in keys]
+    versions = facts.where(F.col("system_date").isNotNull())
+    for key in keys:
+        versions = versions.where(F.col(key).isNotNull())
+    if tombstones == "ignore":
+        versions = not_deleted(versions)
+    quoted = lambda c: F.col(f"`{c}`")
+    asked = requests.select(
+        *keys, F.col("instant").cast("timestamp").alias("_at"), F.lit(None).cast("string").alias("_tie"), F.struct(*[quoted(c) for c in requests.columns]).alias("_request"))
+    known = versions.select(
+        *keys, F.col("system_date").alias("_at"), F.col("ingest_id").alias("_tie"), F.struct(*[quoted(c) for c in added]).alias("_version"))
+    hour = F.coalesce(F.floor(F.unix_seconds("_at") / 3600), F.lit(2**62))
+    rows = known.unionByName(asked, allowMissingColumns=True).withColumn("_hour", hour)
+    # a version of the very instant counts; a missing instant comes last
+    order = [F.asc_nulls_last("_at"), F.col("_request").isNotNull(), F.asc("_tie")]
+    inside = Window.partitionBy(*keys, "_hour").orderBy(*order)
+    placed = rows.withColumn("_found", F.last("_version", ignorenulls=True).over(inside)).where("_request IS NOT NULL")
+    # the newest version of each cell, and for each cell with requests the newest of the cells before it
+    newest_of = F.max_by("_version", F.when(F.col("_version").isNotNull(), F.struct("_at", "_tie")))
+    cells = rows.groupBy(*keys, "_hour").agg(newest_of.alias("_newest"), F.max(F.col("_request").isNotNull()).alias("_asked"))
+    before_it = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_handed", F.last("_newest", ignorenulls=True).over(before_it)).where("_asked")
+    named = cells.select(*[F.col(k).alias(f"_cell_{k}") for k in keys], F.col("_hour").alias("_cell_hour"), "_handed")
+    same = F.col("_hour") == F.col("_cell_hour")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_cell_{key}"))
+    found = placed.join(named, same, "left").select("_request", F.coalesce("_found", "_handed").alias("_version"))
+    if tombstones == "apply":
+        found = found.withColumn("_version", F.when(~F.col("_version.deleted").eqNullSafe(F.lit(True)), F.col("_version")))
+    return found.select(
+        *[F.col(f"_request.`{c}`").alias(c) for c in requests.columns if c not in added], *[F.col(f"_version.`{c}`").alias(c) for c in added])
+
+
 def tool_series(facts: DataFrame, asset_id=None, source_id=None, start=None, end=None, limit: int | None = None) -> DataFrame:
     """Per (asset, source): newest version per date, end exclusive, markers may win."""
     rows = where_equal(facts, asset_id=asset_id, data_source_id=source_id)

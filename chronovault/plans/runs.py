@@ -13,7 +13,7 @@ from ..session import materialise
 from ..functions.text import asset_class, asset_metadata
 from ..operators.deletes import asset_delete_markers, delete_markers, partition_markers
 from ..operators.dimensions import asset_changes, deactivate_assets, fold_assets, fold_sources, source_changes
-from ..operators.filters import where_in
+from ..operators.filters import where_in, where_not_in
 from ..operators.series import backfill, backfill_status
 from ..operators.statistics import linear_trends, yearly_totals
 from ..operators.versions import latest_versions, latest_year
@@ -117,17 +117,26 @@ def run_analytics(
 ) -> tuple[DataFrame, DataFrame]:
     """Recomputes the stored totals and trends, and returns both as stored afterwards.
 
-    Results are complete before they replace anything. A run that finds no priced row
-    leaves the stored totals as they were.
+    A run for some assets replaces their rows and leaves those of all others alone. Results are complete before they replace
+    anything. A run that finds nothing to total, or nothing to fit, leaves the stored results as they were.
     """
     paths = table_paths(root)
     facts = read_facts(spark, paths["facts"])
+    listed = asset_ids if asset_ids is None or isinstance(asset_ids, DataFrame) else list(asset_ids)
+
+    def renew(fresh: DataFrame, name: str, schema) -> None:
+        fresh = materialise(spark, fresh, name)
+        if fresh.isEmpty():
+            return
+        if listed is not None:
+            others = where_not_in(read_table(spark, paths[name], schema), "asset_id", listed)
+            fresh = materialise(spark, others.select(*schema.names).unionByName(fresh.select(*schema.names)), name)
+        replace_table(fresh, paths[name])
+
     if descriptive:
-        totals = materialise(spark, yearly_totals(facts, asset_ids), "totals")
-        if not totals.isEmpty():
-            replace_table(totals, paths["totals"])
+        renew(yearly_totals(facts, listed), "totals", schemas.TOTALS)
     if predictive:
-        replace_table(materialise(spark, linear_trends(facts, asset_ids), "trends"), paths["regression_results"])
+        renew(linear_trends(facts, listed), "regression_results", schemas.REGRESSION_RESULTS)
     return (
         read_table(spark, paths["totals"], schemas.TOTALS),
         read_table(spark, paths["regression_results"], schemas.REGRESSION_RESULTS),

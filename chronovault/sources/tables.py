@@ -7,12 +7,14 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions.identity import sorted_map
 from ..functions.text import iso_instant
 from ..operators.filters import business_range
 from ..operators.versions import top_versions
+from ..session import materialise
 
 
 _KEY = ["asset_id", "data_source_id", "business_date"]
@@ -25,9 +27,12 @@ def _month(day):
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A Parquet table in a known schema, in its current version; empty if nothing has been written yet."""
+    """A Parquet table in a known schema, in its current version; empty if nothing has been written yet.
+
+    Columns come in the schema's order, wherever a partition column stands."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
-        return spark.read.schema(schema).parquet(current_version(spark, path) or path)
+        return spark.read.schema(schema).parquet(current_version(spark, path) or path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -168,6 +173,34 @@ def replace_table(df: DataFrame, path: str) -> None:
             fs.delete(status.getPath(), True)
 
 
+def upsert_partitions(changed: DataFrame, path: str, schema, keys: list[str], partition: str) -> None:
+    """Puts the changed rows in place of the stored ones with the same keys, in a Parquet table partitioned by ``partition``.
+
+    Only the partitions that changed rows stand in are read and written again, by dynamic partition overwrite; files of
+    others are not touched. The partition must be one of the keys and have few values. Repeating the same rows changes nothing, so
+    a failure half-way is mended by doing it again. One writer at a time.
+    """
+    spark = changed.sparkSession
+    touched = [r[0] for r in changed.select(partition).distinct().collect()]
+    if not touched:
+        return
+    stored = read_table(spark, path, schema)
+    stored = stored.where(F.col(partition).isin([t for t in touched if t is not None]) | (F.col(partition).isNull() if None in touched else F.lit(False)))
+    kept = _without_keys(stored, changed, keys)
+    merged = materialise(spark, kept.select(*schema.names).unionByName(changed.select(*schema.names)), "upsert")
+    writer = merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+
+
+def _without_keys(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys, null being a value, are not among those of ``gone``."""
+    named = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_gone_{k}"))
+    return rows.join(named, same, "left_anti")
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Adds rows to the table's current version."""
     df.write.mode("append").parquet(current_version(df.sparkSession, path) or path)

@@ -84,6 +84,16 @@ def jon9(spark, sf):
     return series.missing_dates(v.facts(spark, sf), None, "2024-01-01", "2024-01-30")
 
 
+@query("jon9_missing_ranges", oracle("facts", body="""
+    , fenced AS (SELECT DISTINCT asset_id, business_date FROM facts WHERE business_date BETWEEN DATE '2023-12-20' AND DATE '2024-02-10'
+                 UNION SELECT DISTINCT asset_id, unnest([DATE '2023-12-19', DATE '2024-02-11']) FROM facts),
+    followed AS (SELECT *, lead(business_date) OVER (PARTITION BY asset_id ORDER BY business_date) AS next FROM fenced)
+    SELECT asset_id, business_date + 1 AS first_date, next - 1 AS last_date, CAST(next - business_date - 1 AS INTEGER) AS days
+    FROM followed WHERE next - business_date > 1"""))
+def jon9_ranges(spark, sf):
+    return series.missing_ranges(v.facts(spark, sf), None, "2023-12-20", "2024-02-10")
+
+
 @query("jon10_nearest_date", oracle("facts", body=f"""
     , {spine_sql('2023-12-25', '2024-02-05')}, {MISSING_SQL}, {NEAREST_SQL}
     SELECT asset_id, business_date, nearest_date, data_source_id, close_price, volume FROM nearest"""))

@@ -60,3 +60,14 @@ def stm3(spark, sf):
     once = event_stream(spark, sf).withColumn("provenance", provenance()).select(*FACTS.names)
     ingest.stream_totals(spark, once.unionByName(once), root, scratch_path(spark, "checkpoint")).awaitTermination()
     return rounded_totals(read_table(spark, table_paths(root)["totals"], TOTALS))
+
+
+@query("stm3_running_totals", oracle("totals", body=f"""
+    SELECT asset_id, business_date_year, record_count, min_close_price, max_close_price,
+           {sql_r6('average_close_price')} AS average_close_price FROM totals"""))
+def stm3_running(spark, sf):
+    """Every event is streamed twice and counts once; totals come from the stream's state."""
+    path = scratch_path(spark, "running-totals")
+    once = event_stream(spark, sf)
+    ingest.stream_running_totals(once.unionByName(once), path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return rounded_totals(read_table(spark, path, TOTALS))

@@ -52,6 +52,21 @@ def win2_apply(spark, sf):
     return shown(versions.latest_by_asset(v.facts(spark, sf), tombstones="apply"))
 
 
+@query("win2_asof_join", oracle("live", "facts", body=f"""
+    , requests AS (SELECT event_id AS request_id, asset_id, business_date, system_date + to_hours(CAST(event_id % 49 - 24 AS INTEGER)) AS instant FROM facts),
+    daily AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id, business_date, system_date ORDER BY ingest_id DESC) AS r FROM live) WHERE r = 1)
+    SELECT request_id, q.asset_id, q.business_date, instant, d.ingest_id, d.data_source_id, d.close_price, d.system_date
+    FROM requests q ASOF LEFT JOIN daily d ON q.asset_id = d.asset_id AND q.business_date = d.business_date AND q.instant >= d.system_date"""))
+def win2_asof_join(spark, sf):
+    """For each event, its asset's price of that day as it was known up to a day before or after."""
+    facts = v.facts(spark, sf)
+    instant = F.timestamp_add("HOUR", (F.col("event_id") % 49 - 24).cast("int"), F.col("system_date"))
+    requests = facts.select(F.col("event_id").alias("request_id"), "asset_id", "business_date", instant.alias("instant"))
+    known = facts.select("asset_id", "business_date", "system_date", "ingest_id", "deleted", "data_source_id", "close_price")
+    found = versions.asof_join(requests, known).drop("deleted")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("instant", "system_date")})
+
+
 def indicators_sql(limit: str = "") -> str:
     return oracle("live", "sources", body=f"""
     SELECT asset_id, data_source_id, business_date, system_date, close_price, volume,

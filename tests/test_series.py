@@ -121,3 +121,23 @@ def test_backfill_feeds_the_sink(spark, tmp_path):
         made = series.backfill(tables.read_facts(spark, path), asset_frame(spark, ["BTCUSD"]), "2026-06-01", "2026-06-06")
         tables.append_facts(spark, made, path)
     assert tables.read_facts(spark, path).count() == 6
+
+
+def test_missing_ranges_by_brute_force(spark):
+    rng = random.Random(4)
+    dates = {a: sorted({rng.randint(0, 40) for _ in range(n)}) for a, n in (("A", 12), ("B", 1), ("C", 60), ("D", 0))}
+    first = day("2024-02-20")
+    table = facts(spark, [(a, rng.choice("ST"), first + timedelta(d), "2024-05-01 00:00:00", {"close_price": 1.0}, f"{a}{d}{i}") for a, ds in dates.items() for d in ds for i in range(2)]
+                  + [(None, "S", first, "2024-05-01 00:00:00", {}, "n1"), ("A", "S", None, "2024-05-01 00:00:00", {}, "n2")])
+    begin, end = first + timedelta(3), first + timedelta(35)
+    expected = {(a, first + timedelta(d)) for a, ds in dates.items() for d in range(3, 36) if d not in ds}
+    asked = ["A", "B", "C", "D", "D"]
+    got = [tuple(r) for r in series.missing_dates(table, asked, begin, end).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    ranges = series.missing_ranges(table, asked, begin, end).collect()
+    days = [(r["asset_id"], r["first_date"] + timedelta(i)) for r in ranges for i in range(r["days"])]
+    assert sorted(days) == sorted(expected) and all(r["last_date"] == r["first_date"] + timedelta(r["days"] - 1) for r in ranges)
+    # neighbours in the result are apart: each range is as long as it can be
+    assert not {(r["asset_id"], r["last_date"] + timedelta(1)) for r in ranges} & {(r["asset_id"], r["first_date"]) for r in ranges}
+    plan = series.missing_dates(table, None, begin, end)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "NestedLoop" not in plan

@@ -70,3 +70,20 @@ def test_dimensions_follow_the_stream(spark, tmp_path):
         ingest.stream_batches(spark, stream, root, checkpoint).awaitTermination()
     assert rows(runs.read_assets(spark, root), "asset_id", "asset_type") == [("A", "type 0"), ("B", "type 1")]
     assert rows(runs.read_sources(spark, root), "data_source_id", "display_name") == [("S", "S")]
+
+
+@pytest.mark.parametrize("delay", [None, "4000 days"])
+def test_running_totals_rewrite_only_the_years_they_touch(spark, tmp_path, delay):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "totals", "checkpoint"))
+    files = lambda year: sorted(p.name for p in (tmp_path / "totals" / f"business_date_year={year}").glob("*.parquet"))
+    before = None
+    for batch in (FIRST, LATE, FIRST + LATE, NEW_BUT_OLD + [("A", "S", "2025-03-01", "2024-02-02 10:00:00", {}, "5")]):
+        facts(spark, batch).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.FACTS).parquet(source)
+        ingest.stream_running_totals(stream, target, checkpoint, delay).awaitTermination()
+        whole = yearly_totals(spark.read.schema(schemas.FACTS).parquet(source).dropDuplicates(["ingest_id"]))
+        assert rows(tables.read_table(spark, target, schemas.TOTALS)) == rows(whole)
+        if before is not None:
+            assert files(2024) == before  # batches after the first have nothing new of 2024
+        before = files(2024)
+    assert files(2023) and files(2025)

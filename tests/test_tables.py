@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronovault.operators import deletes, dimensions
+from chronovault.plans import runs
 from chronovault.sources import tables
 from tests.helpers import at, day, facts, rows
 
@@ -168,3 +169,19 @@ def test_unchanged_rows_of_one_batch(spark, tmp_path):
     batch = landed(spark, 1.0, 1).unionByName(landed(spark, 1.0, 2)).unionByName(landed(spark, 2.0, 3)).unionByName(landed(spark, 1.0, 4))
     tables.append_facts(spark, batch, path, skip_unchanged=True)
     assert rows(tables.read_facts(spark, path), "ingest_id") == [("1.0-1",), ("1.0-4",), ("2.0-3",)]
+
+
+def test_analytics_of_some_assets_leave_the_others_alone(spark, tmp_path):
+    root = str(tmp_path)
+    prices = [(a, "S", f"2024-01-0{d}", f"2024-01-0{d} 10:00:00", {"close_price": float(d * k)}, f"{a}{d}") for k, a in enumerate("ABC", 1) for d in range(1, 6)]
+    tables.append_facts(spark, facts(spark, prices), runs.table_paths(root)["facts"])
+    everything = [rows(df.drop("calculation_time")) for df in runs.run_analytics(spark, root)]
+    assert [len(x) for x in everything] == [3, 3]
+    more = [("A", "S", "2024-01-09", "2024-01-09 10:00:00", {"close_price": 100.0}, "A9"), ("B", "S", "2024-01-09", "2024-01-09 10:00:00", {"close_price": 100.0}, "B9")]
+    tables.append_facts(spark, facts(spark, more), runs.table_paths(root)["facts"])
+    for asked in (["A"], runs.asset_frame(spark, ["A"])):
+        some = [rows(df.drop("calculation_time")) for df in runs.run_analytics(spark, root, asked)]
+        assert [[r for r in x if r[0] != "A"] for x in some] == [[r for r in x if r[0] != "A"] for x in everything]
+        assert [len(x) for x in some] == [3, 3] and some[0][0] != everything[0][0] and some[1][0] != everything[1][0]
+    nothing = [rows(df.drop("calculation_time")) for df in runs.run_analytics(spark, root, ["NONE"])]
+    assert nothing == some

@@ -1,7 +1,9 @@
 import random
 
+import pytest
+
 from chronovault.operators import filters, versions
-from tests.helpers import facts, rows
+from tests.helpers import at, day, facts, rows
 
 VERSIONS = [
     ("A", "S", "2024-01-01", "2024-01-01 10:00:00", {"close_price": 1.0}, "a1"),
@@ -117,3 +119,53 @@ def test_picks_against_brute_force(spark):
         assert ids(versions.latest_versions(frame, tombstones=mode)) == best((0, 1, 2), mode)
         assert ids(versions.latest_by_asset(frame, tombstones=mode)) == best((0, 2), mode)
         assert ids(versions.latest_by_asset(frame, as_of_instant=bound, tombstones=mode)) == best((0, 2), mode, early)
+
+
+def brute_asof(requests, known, tombstones):
+    """The id each request finds, by looking at every version."""
+    out = []
+    for rid, asset, bd, instant in requests:
+        found = [v for v in known if v[0] == asset and v[2] == bd and v[3] is not None and (instant is None or v[3] <= instant)]
+        if tombstones == "ignore":
+            found = [v for v in found if len(v) == 6]
+        best = max(found, key=lambda v: (v[3], v[5]), default=None)
+        out.append((rid, best[5] if best and not (tombstones == "apply" and len(best) == 7) else None))
+    return out
+
+
+def asof_case(seed, n=400):
+    """Versions and requests of a hot asset and others, with equal seconds, markers and requests without an instant."""
+    rng = random.Random(seed)
+    moment = lambda: f"2024-03-{rng.randint(1, 3):02d} {rng.randint(0, 23):02d}:{rng.choice([0, 0, 30]):02d}:00"
+    asset = lambda: rng.choice(["HOT", "HOT", "B", "C"])
+    known = [(asset(), "S", f"2024-02-0{rng.randint(1, 2)}", moment(), {"close_price": float(i)}, f"v{i:04d}", *([True] if rng.random() < 0.2 else [])) for i in range(n)]
+    requests = [(i, rng.choice([asset(), "NONE"]), f"2024-02-0{rng.randint(1, 3)}", rng.choice([moment(), moment(), None])) for i in range(n)]
+    return known, requests + requests[:5]
+
+
+@pytest.mark.parametrize("tombstones", ["ignore", "include", "apply"])
+def test_asof_join_by_brute_force(spark, tombstones):
+    known, requests = asof_case(2)
+    asked = spark.createDataFrame([(r, a, day(d), at(i) if i else None) for r, a, d, i in requests], "request_id long, asset_id string, business_date date, instant timestamp")
+    found = versions.asof_join(asked, facts(spark, known), tombstones=tombstones)
+    got = [(r["request_id"], r["ingest_id"]) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(brute_asof(requests, known, tombstones), key=str)
+
+
+def test_asof_join_edges_and_plan(spark):
+    table = facts(spark, [*VERSIONS, ("A", "S", None, "2024-01-01 10:00:00", {"close_price": 9.0}, "z1"), ("A", "S", "2024-01-09", None, {"close_price": 9.0}, "z2")])
+    asked = spark.createDataFrame([
+        ("A", day("2024-01-01"), at("2024-01-01 12:00:00"), "the very second", "x"), ("A", day("2024-01-01"), at("2024-01-01 11:59:59"), "a second earlier", "x"),
+        ("A", day("2024-01-01"), at("2024-01-01 09:00:00"), "too early", "x"), (None, day("2024-01-01"), at("2024-05-01 00:00:00"), "no asset", "x"),
+        ("A", None, at("2024-05-01 00:00:00"), "no date", "x"), ("A", day("2024-01-09"), None, "no system date", "x"), ("A", day("2024-01-03"), None, "newest", "x"),
+    ], "asset_id string, business_date date, instant timestamp, `a.note` string, `_hour` string")
+    found = versions.asof_join(asked, table)
+    assert {(r["a.note"], r["ingest_id"], r["_hour"]) for r in found.collect()} == {
+        ("the very second", "a3", "x"), ("a second earlier", "a1", "x"), ("too early", None, "x"), ("no asset", None, "x"), ("no date", None, "x"),
+        ("no system date", None, "x"), ("newest", "c2", "x")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert versions.asof_join(asked.limit(0), table).collect() == []
+    assert {r["ingest_id"] for r in versions.asof_join(asked, table.limit(0)).collect()} == {None}
+    with pytest.raises(ValueError):
+        versions.asof_join(asked, table, tombstones="some")
