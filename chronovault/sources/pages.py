@@ -15,6 +15,7 @@ from ..functions.metrics import (
 )
 from ..functions.text import asset_class, asset_metadata, provider, symbol
 from ..operators.versions import top_versions
+from ..session import materialise
 
 _NO_PARAMETERS = "map<string,string>"
 
@@ -70,24 +71,68 @@ def reached_pages(pages: DataFrame, max_pages: int | None = None, max_rows: int
     """The pages a cursor walk visits: it stops at a page without a cursor, at the first number that does not follow
     the one before it, and at the caps that are given.
 
-    Adds ``first_row``, the rows on earlier pages.
+    Adds ``first_row``, the rows on earlier pages. The walk sees a narrow row for each page; bodies join it at the end.
     """
+    return pages.join(walk(pages, max_pages, max_rows).select("asset_id", "page_number", "first_row"), ["asset_id", "page_number"])
+
+
+def walk(pages: DataFrame, max_pages: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """(asset_id, page_number, n_rows, first_row) of the pages that ``reached_pages`` gives; no page's rows are moved."""
     by_number = Window.partitionBy("asset_id").orderBy("page_number")
     earlier = by_number.rowsBetween(Window.unboundedPreceding, -1)
+    narrow = pages.select("asset_id", "page_number", F.size("rows").alias("n_rows"), F.col("next_cursor_id").isNull().alias("_last"))
     if _bound("max_pages", max_pages) is not None:
-        pages = pages.where(F.col("page_number") <= max_pages)
+        narrow = narrow.where(F.col("page_number") <= max_pages)
     walked = (
-        pages.withColumns({
-            "first_row": F.coalesce(F.sum(F.size("rows")).over(earlier), F.lit(0)),
-            "_ended": F.coalesce(F.max(F.col("next_cursor_id").isNull()).over(earlier), F.lit(False)),
+        narrow.withColumns({
+            "first_row": F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)),
+            "_ended": F.coalesce(F.max("_last").over(earlier), F.lit(False)),
             "_skipped": F.col("page_number") - F.row_number().over(by_number) - F.coalesce(F.min("page_number").over(earlier), "page_number") + 1,
         })
         .where(~F.col("_ended") & (F.col("_skipped") == 0))
-        .drop("_ended", "_skipped")
+        .drop("_ended", "_skipped", "_last")
     )
     return walked if _bound("max_rows", max_rows) is None else walked.where(F.col("first_row") < max_rows)
 
 
+def number_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages that have no number, numbered by their cursors: from 1, the page that was asked for without one.
+
+    ``cursor_id`` is the cursor a page was asked for with; an empty one is none. A walk ends at a page without a next cursor, at a
+    cursor whose page has not landed, and before a page that it has been on. Pages no walk reaches are left out, and so is an asset
+    whose first page has not landed. Where a page landed more than once, the walk goes on from its latest form; all forms get the
+    number, and ``normalise_pages`` keeps the latest.
+
+    Pages are ranked by pointer doubling: turn k joins the pages reached so far to those 2^k pages on, so a chain of n pages takes
+    log2(n) turns, on rows of (asset, cursor, next cursor) alone; the pages themselves are joined once at the end.
+    """
+    spark = pages.sparkSession
+    cursor = F.coalesce("cursor_id", F.lit(""))
+    following = F.coalesce(F.nullif("datatable.next_cursor_id", F.lit("")), F.nullif("next_cursor_id", F.lit("")))
+    landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None).cast("timestamp")
+    narrow = pages.select(symbol(F.col("asset_symbol")).alias("asset_id"), cursor.alias("at"), following.alias("to"), landed.alias("landed_at"))
+    newest = [F.desc("landed_at"), F.desc("to")]
+    links = materialise(spark, top_versions(narrow.where("asset_id <> ''"), ["asset_id", "at"], newest).select("asset_id", "at", "to"), "cursors")
+    # where to is not null: the page ``steps`` pages on has the cursor ``to``
+    known = links.select("asset_id", F.col("at").alias("to"))
+    jumps = materialise(spark, links.where("to IS NOT NULL").join(known, ["asset_id", "to"], "left_semi").select("asset_id", "at", "to"), "jumps")
+    reached = materialise(spark, links.where("at = ''").select("asset_id", "at", F.lit(0).cast("long").alias("rank")), "reached")
+    steps = 1
+    while True:
+        onward = jumps.join(reached, ["asset_id", "at"]).select("asset_id", F.col("to").alias("at"), (F.col("rank") + steps).alias("rank"))
+        # a page that was reached before ends the walk there; ranks before it stay
+        fresh = materialise(spark, onward.join(reached.select("asset_id", "at"), ["asset_id", "at"], "left_anti").groupBy("asset_id", "at").agg(F.min("rank").alias("rank")), "fresh")
+        if fresh.isEmpty():
+            break
+        reached = materialise(spark, reached.unionByName(fresh), "reached")
+        second = jumps.select("asset_id", F.col("at").alias("to"), F.col("to").alias("_further"))
+        jumps = materialise(spark, jumps.join(second, ["asset_id", "to"]).select("asset_id", "at", F.col("_further").alias("to")), "jumps")
+        steps *= 2
+    ranks = reached.select(F.col("asset_id").alias("_asset"), F.col("at").alias("_at"), (F.col("rank") + 1).cast("int").alias("page_number"))
+    same = (symbol(F.col("asset_symbol")) == F.col("_asset")) & (cursor == F.col("_at"))
+    return pages.drop("page_number").join(ranks, same).drop("_asset", "_at")
+
+
 def page_rows(pages: DataFrame) -> DataFrame:
     """One row per data row of each reached page, with its 0-based place on the page and in the walk."""
     return pages.select(
@@ -209,8 +254,8 @@ def normalise_requests(requested: DataFrame) -> DataFrame:
 
 
 def without_data(requested: DataFrame, reached: DataFrame) -> DataFrame:
-    """Requested assets without a landed page, or whose walk met an empty page."""
-    usable = reached.groupBy("asset_id").agg(F.min(F.size("rows")).alias("_least")).where("_least > 0")
+    """Requested assets without a landed page, or whose walk (see ``walk``) met an empty page."""
+    usable = reached.groupBy("asset_id").agg(F.min("n_rows").alias("_least")).where("_least > 0")
     return requested.select("asset_id").distinct().join(usable, "asset_id", "left_anti")
 
 
@@ -224,13 +269,14 @@ def ingest_batch(
     ``requested`` has asset_id; without it the assets of the pages are ingested. All landed pages and rows of a walk
     count unless a cap is given.
     """
-    normal = normalise_pages(pages)
-    if requested is None:
-        requested = normal.select("asset_id").distinct()
-    requested = normalise_requests(requested)
-    reached = reached_pages(normal.join(requested, "asset_id", "left_semi"), max_pages, max_rows)
-    empty = without_data(requested, reached)
-    rows = cap_rows(page_rows(reached.join(empty, "asset_id", "left_anti")), max_rows)
+    spark = pages.sparkSession
+    # landed pages are read and put in order once; the walk and the rows are then reads of some columns of these
+    normal = materialise(spark, normalise_pages(pages), "pages")
+    requested = normalise_requests(normal if requested is None else requested)
+    walked = materialise(spark, walk(normal.join(requested, "asset_id", "left_semi"), max_pages, max_rows), "walk")
+    empty = without_data(requested, walked)
+    reached = normal.join(walked.join(empty, "asset_id", "left_anti").select("asset_id", "page_number", "first_row"), ["asset_id", "page_number"])
+    rows = cap_rows(page_rows(reached), max_rows)
     batch = vendor_batch(rows, omit, now)
     return batch.unionByName(template_batch(empty, omit, now)) if fallback else batch
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -35,7 +36,7 @@ def pages(spark, sf):
         F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("c"), F.col("event_id").cast("string")))
         .when(F.col("event_id") % 8 == 0, F.lit("")).alias("next_cursor_id"),
         F.create_map(F.lit("rows"), F.lit("100"), F.lit("API_KEY"), F.lit("secret")).alias("query_parameters"),
-        F.col("ts").cast("timestamp").alias("landed_at"),
+        F.col("ts").cast("timestamp").alias("landed_at"), "event_id",
     )
 
 
@@ -83,6 +84,34 @@ def src2(spark, sf):
     return _shown(p.cap_rows(p.page_rows(reached), fixed.MAX_ROWS))
 
 
+def chained_pages(spark, sf):
+    """Each event as a landed page that knows the cursor it was asked with and the next one: a customer's events in time.
+
+    Some next cursors have not landed, and some lead back to an earlier page.
+    """
+    landed = pages(spark, sf).drop("page_number", "next_cursor_id")
+    order = Window.partitionBy("asset_symbol").orderBy("landed_at", "event_id")
+    named = lambda c: F.concat(F.lit("c"), c.cast("string"))
+    following = F.lead("event_id").over(order)
+    return landed.withColumns({
+        "cursor_id": F.when(F.row_number().over(order) > 1, named(F.col("event_id"))),
+        "next_cursor_id": F.when(F.col("event_id") % 53 == 0, F.lit("gone")).when(F.col("event_id") % 31 == 0, named(F.lag("event_id", 2).over(order))).otherwise(named(following)),
+    })
+
+
+@query("src1_cursor_chain", """WITH RECURSIVE ordered AS (
+        SELECT 'U' || user_id AS asset_id, event_id, row_number() OVER o AS place, lead(event_id) OVER o AS following, lag(event_id, 2) OVER o AS earlier
+        FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    links AS (SELECT asset_id, event_id, place, CASE WHEN event_id % 53 = 0 THEN -1 WHEN event_id % 31 = 0 THEN earlier ELSE following END AS next FROM ordered),
+    w AS (SELECT asset_id, event_id, next, 1 AS page_number, [event_id] AS visited FROM links WHERE place = 1
+          UNION ALL SELECT l.asset_id, l.event_id, l.next, w.page_number + 1, list_append(w.visited, l.event_id)
+          FROM w JOIN links l ON l.asset_id = w.asset_id AND l.event_id = w.next AND l.place > 1 WHERE NOT list_contains(w.visited, l.event_id))
+    SELECT asset_id, event_id, CAST(page_number AS INTEGER) AS page_number FROM w""")
+def src1_chain(spark, sf):
+    numbered = p.number_pages(chained_pages(spark, sf).orderBy(F.xxhash64("event_id")))
+    return numbered.select(F.upper(F.trim("asset_symbol")).alias("asset_id"), "event_id", "page_number")
+
+
 _TEMPLATE = """(DATE '2026-06-05', 98500.0, 99200.0, 34500.0), (DATE '2026-06-04', 97200.0, 98450.0, 29800.0),
         (DATE '2026-06-03', 96100.0, 97150.0, 41200.0)"""
 

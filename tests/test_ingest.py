@@ -193,3 +193,32 @@ def test_an_unchanged_row_at_another_place_is_no_version(spark, tmp_path):
         land(tmp_path / f"landing{n}", "A", 1, data)
         runs.run_ingest(spark, p.read_pages(spark, str(tmp_path / f"landing{n}")), asked, root)
     assert runs.read_facts(spark, runs.table_paths(root)["facts"]).count() == 3
+
+
+def chain_frame(spark, pages):
+    """Pages of (asset, cursor asked for, next cursor, landing hour, body)."""
+    schema = "asset_symbol string, cursor_id string, datatable struct<next_cursor_id:string>, next_cursor_id string, landed_at timestamp, body string"
+    return spark.createDataFrame([(a, c, None, n, datetime(2026, 5, 1, h), b) for a, c, n, h, b in pages], schema)
+
+
+def test_pages_are_numbered_by_their_cursors(spark):
+    long = [("long", f"c{i}" if i else None, f"c{i + 1}", 1, f"l{i}") for i in range(37)]
+    pages = long[::-1] + [
+        ("hole", "", "a", 1, "h0"), ("hole", "a", "b", 1, "h1"), ("hole", "c", "", 1, "not reached"),
+        ("circle", None, "a", 1, "o0"), ("circle", "a", "b", 1, "o1"), ("circle", "b", "a", 1, "o2"),
+        ("alone", "x", "y", 1, "no first page"), ("alone", "y", "x", 1, "no first page"),
+        ("heads", None, "a", 1, "old"), ("heads", None, "b", 2, "new"), ("heads", "a", None, 1, "of the old"), ("heads", "b", None, 1, "of the new"),
+        ("self", None, "s", 1, "s0"), ("self", "s", "s", 1, "s1"), ("  ", None, None, 1, "no asset"), (None, None, None, 1, "no asset"),
+    ]
+    found = p.number_pages(chain_frame(spark, pages))
+    expected = [(f"l{i}", i + 1) for i in range(37)] + [
+        ("h0", 1), ("h1", 2), ("o0", 1), ("o1", 2), ("o2", 3), ("new", 1), ("old", 1), ("of the new", 2), ("s0", 1), ("s1", 2)]
+    assert sorted((r["body"], r["page_number"]) for r in found.collect()) == sorted(expected)
+    assert p.number_pages(chain_frame(spark, [])).collect() == []
+
+
+def test_no_window_or_walk_carries_the_rows_of_pages(spark, landed):
+    plan = p.walk(p.normalise_pages(landed))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "page_number" in line and "sum(" in line]
+    assert windows and all("layout" not in line and "rows#" not in line.replace("n_rows#", "") for line in windows)
+    assert rows(p.walk(p.normalise_pages(landed)).where("asset_id = 'BTCUSD'"), "page_number", "n_rows", "first_row") == [(1, 3, 0), (2, 4, 3), (3, 4, 7)]
