@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,15 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the machine. Python workers are kept for later tasks, and would keep it too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most BATCH_BYTES, unless the session says otherwise: a task's memory outside the heap is some multiple of them."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import bounded_batches, crc_mod, text_chunks
+from .common import bounded_batches, crc_mod, release, text_chunks
 
 #: bytes of context
 ORDER = 3
@@ -179,6 +179,7 @@ def _scored(rows: DataFrame, trees: ContextTrees, given: list[str]) -> DataFrame
                     *[batch[c].slice(begin, end - begin) for c in given],
                     pa.array([names[b] if ok else UNDETERMINED for b, ok in zip(best, letters)], pa.string()), pa.array(np.where(letters, 1 / shares, 0.0)),
                 ], names=[*given, "lang_pred", "score"])
+        release()
 
     schema = StructType([*[rows.schema[c] for c in given], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return rows.mapInArrow(score, schema)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, list_array, mix, ragged, signed, stored, text_chunks, word_hashes
+from .common import NON_SPACE, list_array, mix, ragged, release, signed, stored, text_chunks, word_hashes
 from .components import components
 from .decontaminate import _bitmap as id_bitmap, gram_hashes
 from .tiles import mixed, pairs_of, settle, verified
@@ -132,6 +132,7 @@ def sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
                 lists = list_array(pa.array(bands), offsets)
                 nodes = pa.array([_node(s) if len(s) and i.is_valid else None for s, i in zip(part, ids)], pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, batch["text_hash"].slice(begin + a, len(part)), pa.array(sizes), nodes, lists], names=["doc_id", "text_hash", "n_shingles", "node", "bands"])
+    release()
 
 
 def fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +177,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 found = [s for s in found if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
+        release()
 
     keyed = texts.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("key"), "text")
     found = keyed.mapInArrow(sets, "node long, shingles binary").join(wanted.select("node"), "node", "left_semi")

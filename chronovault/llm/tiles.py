@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged, stored
+from .common import ragged, release, stored
 from .components import components
 
 #: sets of a tile, and the bytes of their elements, unless one set has more
@@ -40,6 +40,7 @@ def verify_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             common = int((both[1:] == both[:-1]).sum())
             keep.append(100 * common >= percent * (len(both) - common))
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+    release()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -21,13 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, mix, ragged, span_hashes, stored
+from .common import CHUNK_BYTES, mix, ragged, release, span_hashes, stored
 
 #: characters of a block's texts, and distinct words of a shard on average
-BLOCK_CHARS = 28_000_000
-WORDS_PER_SHARD = 400_000
+BLOCK_CHARS = 14_000_000
+WORDS_PER_SHARD = 200_000
 #: distinct words that a block or a task's memory holds at a time
-MOST_WORDS = 900_000
+MOST_WORDS = 450_000
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD, _UNKNOWN = range(6)
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -340,6 +340,8 @@ def word_blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Rec
                 done, ids, n_words, stream, words, known, size = done + 1, [], [], [], [], WordNumbers(), 0
     if ids:
         yield block()
+    ids, n_words, stream, words, known = [], [], [], [], None
+    release()
 
 
 def _shard_edges(hashes: bytes, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -393,7 +395,10 @@ def _encode(docs: DataFrame, path: str, decoded: bool) -> DataFrame:
             own = at[place:place + n]
             out.append((_pack(sizes[own]), _pack(flat[ragged(begin[own], sizes[own])])))
             place += n
-        return pa.table({"block": shard["block"], "shard": shard["shard"], "sizes": pa.array([s for s, _ in out], pa.binary()), "ids": pa.array([i for _, i in out], pa.binary())})
+        table = pa.table({"block": shard["block"], "shard": shard["shard"], "sizes": pa.array([s for s, _ in out], pa.binary()), "ids": pa.array([i for _, i in out], pa.binary())})
+        del lists, coded, ids, flat, out
+        release()
+        return table
 
     answers = blocks.select("block", "n_distinct", "hashes", "words").mapInArrow(deal, "shard long, block long, words binary").groupBy("shard").applyInArrow(
         encode_shard, "block long, shard long, sizes binary, ids binary")
