@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, list_array, mix, ragged, signed, stored, text_chunks, word_hashes
+from .common import ALNUM, list_array, mix, ragged, release, signed, stored, text_chunks, word_hashes
 
 WINDOW = 10
 K = 5
@@ -112,6 +112,7 @@ def fingerprints(batches: Iterator[pa.RecordBatch], window: int, k: int, short:
                         ids.take(row), text_hashes.take(row), pa.array(sizes).take(row), pa.array(np.full(len(part), kind, np.int32)),
                         pa.array(signed(prints[a:a + 50_000])), *_contexts(chunk, starts, ends, rows, part, length, 0 if kind else window - k),
                     ], names=_NAMES)
+    release()
 
 
 def _bitmap(prints: DataFrame, most_bits: int) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import mix, stored
+from .common import mix, release, stored
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -129,6 +129,7 @@ def pack_lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa
                 blocks, size, lists = blocks + 1, 0, [[] for _ in names[1:]]
     if lists[0]:
         yield block()
+    release()
 
 
 def _shard_of(high: np.ndarray, shards: int) -> np.ndarray:

@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, mix, ragged, release, span_hashes, stored
 
 #: characters of a block's texts, and distinct words of a shard on average
-BLOCK_CHARS = 14_000_000
-WORDS_PER_SHARD = 200_000
+BLOCK_CHARS = 6_000_000
+WORDS_PER_SHARD = 100_000
 #: distinct words that a block or a task's memory holds at a time
-MOST_WORDS = 450_000
+MOST_WORDS = 250_000
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD, _UNKNOWN = range(6)
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -430,7 +430,10 @@ def _encode(docs: DataFrame, path: str, decoded: bool) -> DataFrame:
             data = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(after.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
             chunks.append(pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), data], schema=schema))
             a = b
-        return pa.Table.from_batches(decode_ids(chunks, pieces) if decoded else chunks)
+        table = pa.Table.from_batches(decode_ids(chunks, pieces) if decoded else chunks)
+        del parts, sizes, flat, begins, numbers, by_number, positions, chunks
+        release()
+        return table
 
     return blocks.select("block", "doc_ids", "n_words", "positions", "places").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         place, "doc_id long, ids binary" + ", decoded string" * decoded)
