@@ -131,3 +131,21 @@ def test_components_by_brute_force(spark, monkeypatch, task_links):
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
     assert got == {x: root(x) for link in links if link[0] != link[1] for x in link}
+
+
+def test_components_are_those_of_the_exact_join(spark):
+    """Groups of near copies about the threshold: the exact n-gram join gives the same components."""
+    from chronovault.llm.multi_order import jaccard_components
+    rng = random.Random(12)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(rng.randint(25, 90))]
+        for _ in range(50):
+            own = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 9))):
+                own[rng.randrange(len(own))] = f"e{rng.randrange(500)}"
+            texts.append(" ".join(own))
+    frame = docs(spark, texts)
+    exact = {r["doc_id"]: r["component_id"] for r in jaccard_components(frame, 2, 80).collect()}
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(frame, 2).collect()} == exact
+    assert 6 < len(set(exact.values())) < len(texts)
