@@ -71,6 +71,11 @@ def _fits(facts: DataFrame, asset_ids) -> DataFrame:
         (F.min("_least") == F.max("_most")).alias("_constant"), F.min("_least").alias("_least"),
         F.max_by("_last", F.when(n > 0, F.struct(*CELL))).alias("last_known_close"), F.max("last_business_date").alias("last_business_date"),
     )
+    return line_fits(sums)
+
+
+def line_fits(sums: DataFrame) -> DataFrame:
+    """Slope, spread and r² from an asset's count, mean, and sums of squares and products about the means."""
     points_, flat = F.col("training_points"), F.col("_constant")
     sums = sums.withColumns({
         "_mean_y": F.when(flat, F.col("_least")).otherwise(F.col("_mean_y")), "_squares": F.when(flat, 0.0).otherwise(F.col("_squares")),
@@ -100,9 +105,14 @@ def _trends(fits: DataFrame, slope: Column, intercept: Column, r_squared: Column
     )
 
 
+def ordinary_trends(fits: DataFrame) -> DataFrame:
+    """The trend table of least-squares fits."""
+    return _trends(fits, F.col("_slope"), F.col("_mean_y") - F.col("_slope") * F.col("_mean_x"), F.col("_r2"))
+
+
 def linear_trends(facts: DataFrame, asset_ids=None) -> DataFrame:
     """Ordinary least squares of close on its position, per asset with enough points."""
-    return _trends(_fits(facts, asset_ids), F.col("_slope"), F.col("_mean_y") - F.col("_slope") * F.col("_mean_x"), F.col("_r2"))
+    return ordinary_trends(_fits(facts, asset_ids))
 
 
 def ridge_trends(facts: DataFrame, asset_ids=None, penalty: float = RIDGE_PENALTY) -> DataFrame:

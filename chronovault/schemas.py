@@ -43,6 +43,37 @@ STORED_FACTS = T.StructType(
     + [T.StructField("business_month", T.DateType())]
 )
 
+# The stored layout of a table from before the migration: system dates are text.
+LEGACY_FACTS = T.StructType([
+    *(T.StructField(f.name, T.StringType()) if f.name == "system_date" else f for f in FACTS.fields),
+    T.StructField("business_month", T.DateType()),
+])
+
+MIGRATION_LOG = T.StructType([
+    T.StructField("status", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("business_month", T.DateType()),
+])
+
+# Moments of an asset's closes in a month, see operators/moments.py.
+MOMENTS = T.StructType([
+    T.StructField("asset_id", T.StringType()),
+    *(T.StructField(n, T.LongType()) for n in ("n", "returns", "total_count")),
+    *(T.StructField(n, T.DoubleType()) for n in (
+        "mean", "squares", "products", "least", "most", "first_close", "last_close", "mean_return", "return_squares",
+        "total_mean", "total_least", "total_most",
+    )),
+    T.StructField("last_business_date", T.DateType()),
+    T.StructField("business_month", T.DateType()),
+])
+
+ASSET_SKETCHES = T.StructType([
+    T.StructField("business_date", T.DateType()),
+    T.StructField("asset_sketch", T.BinaryType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("business_month", T.DateType()),
+])
+
 ASSETS = T.StructType([
     T.StructField("asset_id", T.StringType()),
     T.StructField("first_seen", T.TimestampType()),

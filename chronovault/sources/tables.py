@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +22,8 @@ from ..session import materialise
 _KEY = ["asset_id", "data_source_id", "business_date"]
 #: the file that names a table's current version, and how the versions' folders begin
 _POINTER, _VERSION = "_current", "version-"
+#: 64-bit words of the filter of a batch's keys. At most that many rows of two longs are broadcast, whatever the batch's size
+FILTER_WORDS = 1 << 19
 
 
 def _month(day):
@@ -39,6 +43,18 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
+def months_of(rows: DataFrame, column: str | None = None) -> list[date | None]:
+    """The months that rows stand in, by their business date or a column that holds months: one value per calendar month."""
+    month = F.col(column) if column else _month("business_date")
+    return [r[0] for r in rows.select(month).distinct().collect()]
+
+
+def in_months(months: Sequence[date | None]) -> Column:
+    """Whether a stored row stands in one of the months; None is the month of rows without a date."""
+    inside = F.col("business_month").isin([m for m in months if m is not None])
+    return inside | F.col("business_month").isNull() if None in months else inside
+
+
 def read_facts(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Facts of a business-date range; the month bound prunes partitions, the date bound row groups."""
     facts = read_table(spark, path, schemas.STORED_FACTS)
@@ -67,6 +83,27 @@ def require_ingest_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ingest_id", checked)
 
 
+def _probe(columns: Sequence[str]) -> tuple[Column, Column]:
+    """The word of the filter that a key falls into, and its four bits there."""
+    key = F.xxhash64(*columns)
+    fields = [F.shiftrightunsigned(key, n).bitwiseAND(F.lit(63)).cast("int") for n in (40, 46, 52, 58)]
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), f) for f in fields]
+    return F.pmod(key, F.lit(FILTER_WORDS)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def possible_matches(existing: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The existing rows whose key, null being a value, may be one of the batch's, found without moving them.
+
+    The batch's keys set bits of a Bloom filter of ``FILTER_WORDS`` words, which is broadcast by its fixed bound. No row with a key of
+    the batch is left out. Others pass rarely while the batch has less than some ten million keys, and all of them when the filter is full.
+    """
+    word, bits = _probe(columns)
+    words = batch.select(word.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    probed = existing.withColumns({"_own_word": word, "_own_bits": bits})
+    held = F.col("_bits").bitwiseAND(F.col("_own_bits")) == F.col("_own_bits")
+    return probed.join(F.broadcast(words), (F.col("_word") == F.col("_own_word")) & held, "left_semi").drop("_own_word", "_own_bits")
+
+
 def new_facts(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """The rows of a batch whose ingest id is not stored yet, once per id.
 
@@ -103,18 +140,14 @@ def changed_facts(fresh: DataFrame, existing: DataFrame) -> DataFrame:
 def append_facts(spark: SparkSession, batch: DataFrame, path: str, skip_unchanged: bool = False) -> None:
     """Insert-if-absent. Only the months the batch touches are compared: the id covers the date.
 
-    With ``skip_unchanged`` a row that repeats the version before it is left out as well.
+    Of their rows, those that the filter of the batch's ids lets through are shuffled. With ``skip_unchanged`` a row that repeats the
+    version before it is left out as well. The batch is read for its months, for the filter and for the write.
     """
     rows = require_ingest_id(batch.select(*schemas.FACTS.names))
-    # one value per calendar month, so what reaches the driver is bounded by the calendar
-    months = [r[0] for r in rows.select(_month("business_date")).distinct().collect()]
-    stored = read_table(spark, path, schemas.STORED_FACTS)
-    month = F.col("business_month")
-    touched = month.isin([m for m in months if m is not None])
-    existing = stored.where(touched | month.isNull() if None in months else touched)
-    fresh = new_facts(rows, existing)
+    existing = read_table(spark, path, schemas.STORED_FACTS).where(in_months(months_of(rows)))
+    fresh = new_facts(rows, possible_matches(existing, rows, ["ingest_id"]))
     if skip_unchanged:
-        fresh = changed_facts(fresh, existing)
+        fresh = changed_facts(fresh, possible_matches(existing, rows, _KEY))
     stored_layout(to_stored(fresh)).write.mode("append").partitionBy("business_month").parquet(path)
 
 
