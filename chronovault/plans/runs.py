@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -17,13 +17,13 @@ from ..operators.filters import where_in, where_not_in
 from ..operators.series import backfill, backfill_status
 from ..operators.statistics import linear_trends, yearly_totals
 from ..operators.versions import latest_versions, latest_year
-from ..sources.pages import ingest_batch, ingest_status
+from ..sources.pages import ingest_status, prepare_ingest
 from ..sources.tables import append_facts, append_rows, read_facts, read_table, replace_table
 from .catalog import supported_assets
 
 
 def table_paths(root: str) -> dict[str, str]:
-    names = ["facts", "asset_changes", "source_changes", "totals", "regression_results"]
+    names = ["facts", "asset_changes", "source_changes", "totals", "regression_results", "quarantine", "ingest_log"]
     return {name: f"{root.rstrip('/')}/{name}" for name in names}
 
 
@@ -56,17 +56,36 @@ def compact_dimensions(spark: SparkSession, root: str) -> None:
 
 def run_ingest(
     spark: SparkSession, pages: DataFrame, requested: DataFrame | None, root: str, omit: Sequence[str] = (),
-    max_pages: int | None = None, max_rows: int | None = None,
+    max_pages: int | None = None, max_rows: int | None = None, reasons: bool = False, fallback_on_failure: bool = False,
 ) -> DataFrame:
-    """Ingests landed pages for the requested assets and returns a status row per asset.
+    """Ingests landed pages for the requested assets and returns a status row per asset, with a reason for errors if asked for.
 
     Without a request, all supported assets are ingested. All landed rows count unless a cap is given. A row that says what the
-    version before it says is no new version. The batch is written once and then read by each sink.
+    version before it says is no new version. The batch is written once and then read by each sink. Unreadable pages go to the
+    quarantine and make their asset an error; counts taken during the writes go to the log.
     """
     requested = supported_assets(spark) if requested is None else requested
-    batch = materialise(spark, ingest_batch(pages, requested, omit, max_pages, max_rows), "ingest")
+    run = prepare_ingest(pages, requested, omit, max_pages, max_rows, fallback_on_failure=fallback_on_failure)
+    written = Observation()
+    # a template row has no page
+    counted = run.batch.observe(
+        written, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("provenance.page_number").isNull()).alias("template_rows"),
+        F.count_if(F.col("business_date").isNull()).alias("undated_rows"))
+    batch = materialise(spark, counted, "ingest")
     store_batch(spark, batch, root, skip_unchanged=True)
-    return ingest_status(requested, batch)
+    if run.counts.get["unreadable_pages"]:
+        quarantine(spark, run.unreadable, root)
+    log = {"run_at": datetime.now(timezone.utc).replace(microsecond=0), **{n: c or 0 for n, c in (run.counts.get | written.get).items()}}
+    append_rows(spark.createDataFrame([tuple(log[n] for n in schemas.INGEST_LOG.names)], schemas.INGEST_LOG), table_paths(root)["ingest_log"])
+    return ingest_status(requested, batch, run.failures if reasons else None)
+
+
+def quarantine(spark: SparkSession, unreadable: DataFrame, root: str) -> None:
+    """Adds unreadable pages to the quarantine; a landing that it has already is not added again."""
+    path, key = table_paths(root)["quarantine"], ["asset_id", "page_number", "landed_at", "landed_path"]
+    held = read_table(spark, path, schemas.QUARANTINE).select(*[F.col(c).alias(f"_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    append_rows(unreadable.select(*schemas.QUARANTINE.names).join(held, same, "left_anti"), path)
 
 
 def recent_records(facts: DataFrame, asset_ids: Sequence[str] | DataFrame | None) -> DataFrame:

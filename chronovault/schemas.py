@@ -55,6 +55,22 @@ MIGRATION_LOG = T.StructType([
     T.StructField("business_month", T.DateType()),
 ])
 
+# Responses that are no pages, as they landed.
+QUARANTINE = T.StructType([
+    T.StructField("asset_id", T.StringType()),
+    T.StructField("page_number", T.IntegerType()),
+    T.StructField("landed_at", T.TimestampType()),
+    T.StructField("landed_path", T.StringType()),
+    T.StructField("problem", T.StringType()),
+    T.StructField("body", T.StringType()),
+])
+
+# One row for each ingest run.
+INGEST_LOG = T.StructType([
+    T.StructField("run_at", T.TimestampType()),
+    *(T.StructField(n, T.LongType()) for n in ("pages", "unreadable_pages", "landed_rows", "rows", "template_rows", "undated_rows")),
+])
+
 # Moments of an asset's closes in a month, see operators/moments.py.
 MOMENTS = T.StructType([
     T.StructField("asset_id", T.StringType()),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed, schemas
 from ..functions.identity import ingest_id
@@ -18,12 +20,42 @@ from ..operators.versions import top_versions
 from ..session import materialise
 
 _NO_PARAMETERS = "map<string,string>"
+#: the whole text of a response that is no page; null for a page
+_UNREADABLE = T.StructField("unreadable", T.StringType())
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON responses: ``<path>/asset_symbol=<symbol>/page_number=<n>/*.json``."""
-    landed = spark.read.schema(schemas.PAGES).json(path, multiLine=True)
-    return landed.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+    """Landed JSON responses: ``<path>/asset_symbol=<symbol>/page_number=<n>/*.json``.
+
+    A file that is no JSON, or no page, keeps its text in ``unreadable``. A file without a byte is no page at all: a walk ends before it.
+    """
+    schema = T.StructType([*schemas.PAGES.fields, _UNREADABLE])
+    landed = spark.read.schema(schema).json(path, multiLine=True, columnNameOfCorruptRecord=_UNREADABLE.name)
+    return landed.withColumns({"landed_at": F.col("_metadata.file_modification_time"), "landed_path": F.col("_metadata.file_path")})
+
+
+def parse_pages(responses: DataFrame) -> DataFrame:
+    """Responses that landed as rows with their text in ``body``, as ``read_pages`` gives those that landed as files.
+
+    A text that is no page stays in ``unreadable``; a null or blank one counts as such, as an empty text.
+    """
+    own = [f for f in schemas.PAGES.fields if f.name not in ("asset_symbol", "page_number")]
+    text = F.coalesce(F.col("body"), F.lit(""))
+    page = F.from_json(text, T.StructType([*own, _UNREADABLE]), {"columnNameOfCorruptRecord": _UNREADABLE.name})
+    taken = {f.name for f in own} | {"_page", "body"}
+    return responses.withColumn("_page", page).select(
+        *(c for c in responses.columns if c not in taken), *(F.col(f"_page.{f.name}").alias(f.name) for f in own),
+        F.when(F.trim(text) == "", F.lit("")).otherwise(F.col(f"_page.{_UNREADABLE.name}")).alias(_UNREADABLE.name),
+    )
+
+
+def _given(pages: DataFrame, name: str, kind: str) -> Column:
+    return F.col(name) if name in pages.columns else F.lit(None).cast(kind)
+
+
+def problem(unreadable: Column) -> Column:
+    """What is wrong with a response, or null for a page."""
+    return F.when(unreadable.isNotNull(), F.when(F.try_parse_json(unreadable).isNull(), "no JSON").otherwise("no page"))
 
 
 def request_parameters(cursor: Column | None = None) -> Column:
@@ -39,11 +71,12 @@ def normalise_pages(pages: DataFrame) -> DataFrame:
     """Pages with asset_id, row arrays, next cursor, redacted request parameters, and what
     its rows need of the header: lower-case columns, attribute list, metric layout.
 
-    A page that was landed more than once counts in its latest form.
+    A page that was landed more than once counts in its latest form, readable or not: ``problem`` says what is wrong with it, and
+    ``unreadable`` is its text.
     """
     columns = F.coalesce("dataset.column_names", F.array().cast("array<string>"))
     params = F.col("query_parameters") if "query_parameters" in pages.columns else request_parameters()
-    landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None).cast("timestamp")
+    unreadable = _given(pages, _UNREADABLE.name, "string")
     normal = pages.select(
         symbol(F.col("asset_symbol")).alias("asset_id"),
         F.col("page_number").cast("int").alias("page_number"),
@@ -54,7 +87,10 @@ def normalise_pages(pages: DataFrame) -> DataFrame:
         # an empty cursor is none
         F.coalesce(F.nullif("datatable.next_cursor_id", F.lit("")), F.nullif("next_cursor_id", F.lit(""))).alias("next_cursor_id"),
         redact_parameters(params).alias("query_parameters"),
-        landed.alias("landed_at"),
+        _given(pages, "landed_at", "timestamp").alias("landed_at"),
+        _given(pages, "landed_path", "string").alias("landed_path"),
+        problem(unreadable).alias("problem"),
+        unreadable.alias("unreadable"),
     ).where(F.col("asset_id") != "")
     order = [F.desc("landed_at"), F.desc(F.size("rows")), F.desc("next_cursor_id")]
     return top_versions(normal, ["asset_id", "page_number"], order)
@@ -77,10 +113,12 @@ def reached_pages(pages: DataFrame, max_pages: int | None = None, max_rows: int
 
 
 def walk(pages: DataFrame, max_pages: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """(asset_id, page_number, n_rows, first_row) of the pages that ``reached_pages`` gives; no page's rows are moved."""
+    """(asset_id, page_number, problem, n_rows, first_row) of the pages that ``reached_pages`` gives; no page's rows are moved.
+
+    An unreadable page has no cursor, so a walk ends with it."""
     by_number = Window.partitionBy("asset_id").orderBy("page_number")
     earlier = by_number.rowsBetween(Window.unboundedPreceding, -1)
-    narrow = pages.select("asset_id", "page_number", F.size("rows").alias("n_rows"), F.col("next_cursor_id").isNull().alias("_last"))
+    narrow = pages.select("asset_id", "page_number", "problem", F.size("rows").alias("n_rows"), F.col("next_cursor_id").isNull().alias("_last"))
     if _bound("max_pages", max_pages) is not None:
         narrow = narrow.where(F.col("page_number") <= max_pages)
     walked = (
@@ -109,7 +147,7 @@ def number_pages(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     cursor = F.coalesce("cursor_id", F.lit(""))
     following = F.coalesce(F.nullif("datatable.next_cursor_id", F.lit("")), F.nullif("next_cursor_id", F.lit("")))
-    landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None).cast("timestamp")
+    landed = _given(pages, "landed_at", "timestamp")
     narrow = pages.select(symbol(F.col("asset_symbol")).alias("asset_id"), cursor.alias("at"), following.alias("to"), landed.alias("landed_at"))
     newest = [F.desc("landed_at"), F.desc("to")]
     links = materialise(spark, top_versions(narrow.where("asset_id <> ''"), ["asset_id", "at"], newest).select("asset_id", "at", "to"), "cursors")
@@ -259,33 +297,71 @@ def without_data(requested: DataFrame, reached: DataFrame) -> DataFrame:
     return requested.select("asset_id").distinct().join(usable, "asset_id", "left_anti")
 
 
-def ingest_batch(
+class Ingest(NamedTuple):
+    """One ingest run before it is stored: its facts, the assets whose walk failed, the unreadable pages, and counts of pages."""
+
+    batch: DataFrame
+    failures: DataFrame
+    unreadable: DataFrame
+    counts: Observation
+
+
+def prepare_ingest(
     pages: DataFrame, requested: DataFrame | None = None, omit: Sequence[str] = (),
     max_pages: int | None = None, max_rows: int | None = None,
-    fallback: bool = True, now: Column | None = None,
-) -> DataFrame:
-    """All facts of one ingest run: vendor rows, and template rows where the vendor gave none.
+    fallback: bool = True, now: Column | None = None, fallback_on_failure: bool = False,
+) -> Ingest:
+    """Reads and walks landed pages once for the requested assets, those of the pages without a request.
 
-    ``requested`` has asset_id; without it the assets of the pages are ingested. All landed pages and rows of a walk
-    count unless a cap is given.
+    An asset whose walk meets an unreadable page fails: it gets no vendor rows, and template rows only with ``fallback_on_failure``.
+    ``failures`` has its id and a reason. ``unreadable`` has every unreadable page of the requested assets, reached or not. ``counts``
+    are taken while the pages are written, without a pass of their own. All landed pages and rows of a walk count unless a cap is given.
     """
-    spark = pages.sparkSession
+    spark, counts = pages.sparkSession, Observation()
     # landed pages are read and put in order once; the walk and the rows are then reads of some columns of these
-    normal = materialise(spark, normalise_pages(pages), "pages")
+    counted = normalise_pages(pages).observe(
+        counts, F.count(F.lit(1)).alias("pages"), F.count("problem").alias("unreadable_pages"), F.sum(F.size("rows").cast("long")).alias("landed_rows"))
+    normal = materialise(spark, counted, "pages")
     requested = normalise_requests(normal if requested is None else requested)
-    walked = materialise(spark, walk(normal.join(requested, "asset_id", "left_semi"), max_pages, max_rows), "walk")
+    own = normal.join(requested, "asset_id", "left_semi")
+    walked = materialise(spark, walk(own, max_pages, max_rows), "walk")
+    failures = walked.where("problem IS NOT NULL").select(
+        "asset_id", F.concat(F.lit("page "), F.col("page_number").cast("string"), F.lit(" is "), F.col("problem")).alias("reason"))
     empty = without_data(requested, walked)
     reached = normal.join(walked.join(empty, "asset_id", "left_anti").select("asset_id", "page_number", "first_row"), ["asset_id", "page_number"])
-    rows = cap_rows(page_rows(reached), max_rows)
-    batch = vendor_batch(rows, omit, now)
-    return batch.unionByName(template_batch(empty, omit, now)) if fallback else batch
+    batch = vendor_batch(cap_rows(page_rows(reached), max_rows), omit, now)
+    if fallback:
+        templates = empty if fallback_on_failure else empty.join(failures, "asset_id", "left_anti")
+        batch = batch.unionByName(template_batch(templates, omit, now))
+    unreadable = own.where("problem IS NOT NULL").select(
+        "asset_id", "page_number", "landed_at", "landed_path", "problem", F.col("unreadable").alias("body"))
+    return Ingest(batch, failures, unreadable, counts)
 
 
-def ingest_status(requested: DataFrame, batch: DataFrame) -> DataFrame:
-    """``ingested`` or ``error`` per requested asset, with its number of rows."""
+def ingest_batch(
+    pages: DataFrame, requested: DataFrame | None = None, omit: Sequence[str] = (),
+    max_pages: int | None = None, max_rows: int | None = None,
+    fallback: bool = True, now: Column | None = None, fallback_on_failure: bool = False,
+) -> DataFrame:
+    """All facts of one ingest run: vendor rows, and template rows where the vendor gave none. See ``prepare_ingest``."""
+    return prepare_ingest(pages, requested, omit, max_pages, max_rows, fallback, now, fallback_on_failure).batch
+
+
+def ingest_status(requested: DataFrame, batch: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """``ingested`` or ``error`` per requested asset, with its number of rows.
+
+    With ``failures`` (asset_id, reason) their assets are errors, whatever rows they have, and there is a ``reason``: that of the
+    failure, ``no rows`` for an asset without rows, null where all went well.
+    """
     requested = normalise_requests(requested)
     counts = batch.groupBy("asset_id").agg(F.count(F.lit(1)).alias("_n"))
     rows = F.coalesce("_n", F.lit(0).cast("long"))
-    return requested.join(counts, "asset_id", "left").select(
-        "asset_id", F.when(rows > 0, "ingested").otherwise("error").alias("status"), rows.alias("rows")
+    if failures is None:
+        return requested.join(counts, "asset_id", "left").select(
+            "asset_id", F.when(rows > 0, "ingested").otherwise("error").alias("status"), rows.alias("rows")
+        )
+    reason = F.coalesce("reason", F.when(rows == 0, "no rows"))
+    reasons = failures.groupBy("asset_id").agg(F.min("reason").alias("reason"))
+    return requested.join(counts, "asset_id", "left").join(reasons, "asset_id", "left").select(
+        "asset_id", F.when(reason.isNull(), "ingested").otherwise("error").alias("status"), rows.alias("rows"), reason.alias("reason")
     )

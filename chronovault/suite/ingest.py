@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .. import fixed
+from .. import fixed, schemas
 from ..plans import runs
 from ..session import scratch_path
 from ..sources import pages as p
+from ..sources import tables
 from . import views as v
 from .registry import query
 
@@ -171,3 +172,68 @@ def src6(spark, sf):
     for _ in range(2):
         runs.run_ingest(spark, pages(spark, sf), _requested(spark, sf), root)
     return runs.read_facts(spark, runs.table_paths(root)["facts"]).select("asset_id", "business_date", "close_price", "volume").distinct()
+
+
+def response_texts(spark, sf):
+    """Each event's page as the text of a response. Some are cut off, some are JSON but no page, some are blank."""
+    event, body = F.col("event_id"), F.to_json(F.struct("dataset", "next_cursor_id"))
+    return pages(spark, sf).withColumn("body", body).select(
+        "asset_symbol", "page_number", "landed_at", F.concat(F.lit("landing/"), event.cast("string")).alias("landed_path"),
+        F.when(event % 29 == 0, F.expr("substring(body, 1, length(body) - 3)")).when(event % 31 == 0, F.lit('{"dataset": [7]}'))
+        .when(event % 37 == 0, F.lit(" ")).otherwise(F.col("body")).alias("body"),
+    )
+
+
+_RESPONSES_SQL = """WITH landed AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY asset_id, page_number ORDER BY ts DESC, n DESC, next DESC NULLS LAST) AS c FROM (
+                SELECT 'U' || user_id AS asset_id, CAST(event_id % 7 + 1 AS INTEGER) AS page_number, ts, event_id,
+                       CASE WHEN event_id % 29 = 0 THEN 'no JSON' WHEN event_id % 31 = 0 THEN 'no page' WHEN event_id % 37 = 0 THEN 'no JSON' END AS problem,
+                       CASE WHEN problem IS NOT NULL OR event_type = 'error' THEN 0 ELSE 2 END AS n,
+                       CASE WHEN problem IS NULL AND event_id % 4 <> 0 THEN 'c' || event_id END AS next
+                FROM events))
+        WHERE c = 1),
+    requested AS (SELECT DISTINCT 'U' || c_custkey AS asset_id FROM customer),
+    walked AS (SELECT * FROM (
+        SELECT *, coalesce(bool_or(next IS NULL) OVER w, FALSE) AS ended,
+               page_number - row_number() OVER (PARTITION BY asset_id ORDER BY page_number) = min(page_number) OVER (PARTITION BY asset_id) - 1 AS follows
+        FROM landed WINDOW w AS (PARTITION BY asset_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        WHERE NOT ended AND follows),
+    walks AS (SELECT asset_id, CASE WHEN min(n) > 0 THEN sum(n) END AS vendor_rows,
+                     min('page ' || page_number || ' is ' || problem) AS reason FROM walked GROUP BY 1)"""
+
+
+@query("src5_failure_reasons", _RESPONSES_SQL + """
+    SELECT asset_id, CASE WHEN reason IS NULL THEN 'ingested' ELSE 'error' END AS status,
+           CAST(CASE WHEN reason IS NOT NULL THEN 0 ELSE coalesce(vendor_rows, 3) END AS BIGINT) AS "rows", reason
+    FROM requested LEFT JOIN walks USING (asset_id)""")
+def src5_reasons(spark, sf):
+    """Status rows of a run over responses of which some are unreadable: their assets are errors, without template rows."""
+    run = p.prepare_ingest(p.parse_pages(response_texts(spark, sf)), _requested(spark, sf), now=_now())
+    return p.ingest_status(_requested(spark, sf), run.batch, run.failures)
+
+
+@query("src1_quarantine", _RESPONSES_SQL + """
+    SELECT asset_id, page_number, 'landing/' || event_id AS landed_path, problem FROM landed
+    WHERE problem IS NOT NULL AND asset_id IN (SELECT asset_id FROM requested)""")
+def src1_quarantine(spark, sf):
+    """What stands in the quarantine after the same landing was ingested twice."""
+    root = scratch_path(spark, "warehouse")
+    run = p.prepare_ingest(p.parse_pages(response_texts(spark, sf)), _requested(spark, sf), now=_now())
+    for _ in range(2):
+        runs.quarantine(spark, run.unreadable, root)
+    held = tables.read_table(spark, runs.table_paths(root)["quarantine"], schemas.QUARANTINE)
+    return held.select("asset_id", "page_number", "landed_path", "problem")
+
+
+@query("src6_ingest_log", _RESPONSES_SQL + """
+    SELECT (SELECT COUNT(*) FROM landed) AS pages, (SELECT COUNT(problem) FROM landed) AS unreadable_pages,
+           (SELECT CAST(sum(n) AS BIGINT) FROM landed) AS landed_rows,
+           CAST(sum(CASE WHEN reason IS NULL THEN coalesce(vendor_rows, 3) ELSE 0 END) AS BIGINT) AS "rows",
+           3 * COUNT(*) FILTER (WHERE reason IS NULL AND vendor_rows IS NULL) AS template_rows, CAST(0 AS BIGINT) AS undated_rows
+    FROM requested LEFT JOIN walks USING (asset_id)""")
+def src6_log(spark, sf):
+    """The counts that a whole run took while it wrote."""
+    root = scratch_path(spark, "warehouse")
+    runs.run_ingest(spark, p.parse_pages(response_texts(spark, sf)), _requested(spark, sf), root)
+    return tables.read_table(spark, runs.table_paths(root)["ingest_log"], schemas.INGEST_LOG).drop("run_at")

@@ -222,3 +222,53 @@ def test_no_window_or_walk_carries_the_rows_of_pages(spark, landed):
     windows = [line for line in plan.splitlines() if "Window [" in line and "page_number" in line and "sum(" in line]
     assert windows and all("layout" not in line and "rows#" not in line.replace("n_rows#", "") for line in windows)
     assert rows(p.walk(p.normalise_pages(landed)).where("asset_id = 'BTCUSD'"), "page_number", "n_rows", "first_row") == [(1, 3, 0), (2, 4, 3), (3, 4, 7)]
+
+
+def broken_landing(root):
+    land(root, "CUT", 1, price_rows(1, 2), "c1")
+    land(root, "CUT", 2, price_rows(3, 2))
+    cut = root / "asset_symbol=CUT" / "page_number=2" / "page.json"
+    cut.write_text(cut.read_text()[:-9])
+    land(root, "SHAPE", 1, {"2026-05-01": 3.0})
+    land(root, "FINE", 1, price_rows(1, 2))
+    land(root, "FINE", 2, price_rows(1, 2))  # not reached
+    (root / "asset_symbol=FINE" / "page_number=2" / "page.json").write_text("<html>503</html>")
+    land(root, "EMPTY", 1, [])
+    return cut.read_text()
+
+
+def test_an_unreadable_page_is_an_error_with_a_reason(spark, tmp_path):
+    text = broken_landing(tmp_path / "landing")
+    pages = p.read_pages(spark, str(tmp_path / "landing"))
+    asked = runs.asset_frame(spark, ["CUT", "SHAPE", "FINE", "EMPTY", "NEW"])
+    root = str(tmp_path / "warehouse")
+    for _ in range(2):
+        status = runs.run_ingest(spark, pages, asked, root, reasons=True)
+        assert rows(status) == [
+            ("CUT", "error", 0, "page 2 is no JSON"), ("EMPTY", "ingested", 3, None), ("FINE", "ingested", 2, None), ("NEW", "ingested", 3, None),
+            ("SHAPE", "error", 0, "page 1 is no page"),
+        ]
+    paths = runs.table_paths(root)
+    assert rows(runs.read_facts(spark, paths["facts"]).select("asset_id").distinct()) == [("EMPTY",), ("FINE",), ("NEW",)]
+    held = tables.read_table(spark, paths["quarantine"], schemas.QUARANTINE)
+    assert rows(held, "asset_id", "page_number", "problem") == [("CUT", 2, "no JSON"), ("FINE", 2, "no JSON"), ("SHAPE", 1, "no page")]
+    assert rows(held.where("asset_id = 'CUT'"), "body") == [(text,)]
+    assert held.where("landed_path IS NULL OR landed_at IS NULL").isEmpty()
+    log = tables.read_table(spark, paths["ingest_log"], schemas.INGEST_LOG)
+    assert rows(log.drop("run_at")) == [(6, 3, 4, 8, 6, 0)] * 2
+    asked_for = p.prepare_ingest(pages, asked, fallback_on_failure=True)
+    assert dict(rows(asked_for.batch.groupBy("asset_id").count())) == {"CUT": 3, "SHAPE": 3, "FINE": 2, "EMPTY": 3, "NEW": 3}
+    none = p.prepare_ingest(pages, asked, fallback=False)
+    assert rows(p.ingest_status(asked, none.batch, none.failures), "asset_id", "reason") == [
+        ("CUT", "page 2 is no JSON"), ("EMPTY", "no rows"), ("FINE", None), ("NEW", "no rows"), ("SHAPE", "page 1 is no page")]
+
+
+def test_responses_in_rows_are_read_like_files(spark):
+    good = json.dumps({"dataset": {"column_names": HEADER, "data": price_rows(1, 2)}, "next_cursor_id": "c"})
+    texts = [("a", 1, good), ("b", 1, good[:-1]), ("c", 1, "[1, 2]"), ("d", 1, ""), ("e", 1, None), ("f", 1, "{}"), (None, 1, good)]
+    landed = spark.createDataFrame(texts, "asset_symbol string, page_number int, body string")
+    normal = p.normalise_pages(p.parse_pages(landed))
+    assert rows(normal.select("asset_id", "problem", F.size("rows"), "next_cursor_id")) == [
+        ("A", None, 2, "c"), ("B", "no JSON", 0, None), ("C", "no page", 0, None), ("D", "no JSON", 0, None), ("E", "no JSON", 0, None), ("F", None, 0, None)]
+    assert rows(normal.where("problem IS NOT NULL"), "unreadable") == [("",), ("",), ("[1, 2]",), (good[:-1],)]
+    assert p.parse_pages(landed.limit(0)).collect() == []
