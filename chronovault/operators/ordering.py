@@ -23,8 +23,10 @@ def with_cells(df: DataFrame) -> DataFrame:
     })
 
 
-def in_cell(key: str) -> WindowSpec:
-    return Window.partitionBy(key, *CELL).orderBy(*ORDER)
+def in_cell(key: str, *implied: str) -> WindowSpec:
+    """The rows of a cell in order. Columns that follow from the cell, as its business date does, may be named: rows that lie by them
+    already are not moved."""
+    return Window.partitionBy(key, *implied, *CELL).orderBy(*ORDER)
 
 
 def over_cells(key: str) -> WindowSpec:

@@ -43,15 +43,15 @@ def _fits(facts: DataFrame, asset_ids) -> DataFrame:
 
     Positions are 0, 1, ... so their mean and spread follow from the count. A cell (see ``ordering``) is folded to count, mean, sums of
     squares and products about its means; cells are merged about the asset's means, which keeps the digits.
-    Unpriced rows only count for the last date.
+    Unpriced rows only count for the last date. Facts that lie in buckets of (asset, business date) are not shuffled.
     """
     rows = where_in(facts, "asset_id", asset_ids).where(F.col("asset_id").isNotNull())
     points = rows.select(
         "asset_id", "business_date", "system_date", "ingest_id", price(rows, "close", "close_price").alias("_close")
     )
     y, j = F.col("_close"), F.col("_inside")
-    placed = with_cells(points).withColumn("_inside", F.count("_close").over(before(in_cell("asset_id"))))
-    cells = placed.groupBy("asset_id", *CELL).agg(
+    placed = with_cells(points).withColumn("_inside", F.count("_close").over(before(in_cell("asset_id", "business_date"))))
+    cells = placed.groupBy("asset_id", "business_date", *CELL).agg(
         F.count(y).alias("_n"), F.coalesce(F.avg(y), F.lit(0.0)).alias("_mean"),
         F.coalesce(F.var_pop(y) * F.count(y), F.lit(0.0)).alias("_squares"),
         F.coalesce(F.covar_pop(j.cast("double"), y) * F.count(y), F.lit(0.0)).alias("_products"),

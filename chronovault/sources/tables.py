@@ -158,6 +158,11 @@ def _file_context(spark: SparkSession, path: str):
     return hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()), at
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    context, at = _file_context(spark, path)
+    return context.util().exists(at)
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     """The folder that holds the table now, or None if it was never replaced."""
     context, at = _file_context(spark, path)

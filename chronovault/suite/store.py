@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import moments, sketches
+from ..operators import moments, sketches, statistics, versions
 from ..plans import derived, migration, runs
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import bucketed, tables
 from . import views as v
 from .aggregates import STATS_SQL, rounded_totals, rounded_trends
 from .expressions import LEGACY_SQL, legacy_dates
 from .registry import VIEWS, ntz, oracle, query, r6, sql_r6
 
+BUCKETS = 8
+
 
 def order_facts(spark, sf):
     """Orders as prices of their customers: years of dates, a unique id, and the status."""
@@ -105,3 +107,32 @@ def snk9_store(spark, sf):
     moved = tables.read_table(spark, runs.table_paths(root)["facts"], schemas.STORED_FACTS).select("ingest_id", F.lit("migrated").alias("status"), ntz("system_date"))
     unread = migration.read_unparseable(spark, root).select("ingest_id", F.lit("unparseable").alias("status"), F.lit(None).cast("timestamp_ntz").alias("system_date"))
     return moved.unionByName(unread)
+
+
+def _bucketed_orders(spark, sf):
+    """A bucketed store that got the orders in two batches which overlap."""
+    path, orders = scratch_path(spark, "bucketed"), order_facts(spark, sf)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    settled = F.col("status") == "F"
+    for part in (orders.where(settled), orders):
+        bucketed.append_bucketed(spark, part, name, path, BUCKETS)
+    return bucketed.open_bucketed(spark, name, path, BUCKETS)
+
+
+@query("win1_bucketed_versions", _order_sql(body="""
+    SELECT asset_id, business_date, close_price, ingest_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY asset_id, business_date ORDER BY system_date DESC, ingest_id DESC) AS r FROM facts) WHERE r = 1"""))
+def win1_bucketed(spark, sf):
+    """Latest versions, read from their buckets."""
+    latest = versions.latest_versions(_bucketed_orders(spark, sf))
+    return latest.select("asset_id", "business_date", "close_price", "ingest_id")
+
+
+@query("mlr1_bucketed_trends", _order_sql("points", "fits", "last_dates", "trends", body=f"""
+    SELECT asset_id, training_points, last_known_close, {sql_r6('calculated_trend_slope')} AS calculated_trend_slope,
+           {sql_r6('intercept')} AS intercept, {sql_r6('predicted_next_close_price')} AS predicted_next_close_price,
+           {sql_r6('r_squared')} AS r_squared, last_business_date
+    FROM trends"""))
+def mlr1_bucketed(spark, sf):
+    """Trends whose cells are made in the buckets."""
+    return rounded_trends(statistics.linear_trends(_bucketed_orders(spark, sf)))
