@@ -18,7 +18,7 @@ from ..operators.series import backfill, backfill_status
 from ..operators.statistics import linear_trends, yearly_totals
 from ..operators.versions import latest_versions, latest_year
 from ..sources.pages import ingest_status, prepare_ingest
-from ..sources.tables import append_facts, append_rows, read_facts, read_table, replace_table
+from ..sources.tables import append_facts, append_rows, current_version, read_facts, read_table, replace_table
 from .catalog import supported_assets
 
 
@@ -48,10 +48,11 @@ def read_sources(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact_dimensions(spark: SparkSession, root: str) -> None:
-    """Replaces the change logs by their folded rows. Run it while nothing is appended."""
+    """Replaces the change logs by their folded rows. Run it while nothing is appended; of two that run at once, one fails."""
     paths = table_paths(root)
-    for name, current in (("asset_changes", read_assets(spark, root)), ("source_changes", read_sources(spark, root))):
-        replace_table(materialise(spark, current, name), paths[name])
+    for name, read in (("asset_changes", read_assets), ("source_changes", read_sources)):
+        version = current_version(spark, paths[name])
+        replace_table(materialise(spark, read(spark, root), name), paths[name], version)
 
 
 def run_ingest(
@@ -147,10 +148,11 @@ def run_analytics(
         fresh = materialise(spark, fresh, name)
         if fresh.isEmpty():
             return
+        version = current_version(spark, paths[name])
         if listed is not None:
             others = where_not_in(read_table(spark, paths[name], schema), "asset_id", listed)
             fresh = materialise(spark, others.select(*schema.names).unionByName(fresh.select(*schema.names)), name)
-        replace_table(fresh, paths[name])
+        replace_table(fresh, paths[name], version)
 
     if descriptive:
         renew(yearly_totals(facts, listed), "totals", schemas.TOTALS)

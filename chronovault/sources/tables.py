@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,8 +21,10 @@ from ..session import materialise
 
 
 _KEY = ["asset_id", "data_source_id", "business_date"]
-#: the file that names a table's current version, and how the versions' folders begin
+#: how the files begin that name a table's versions, the highest number the current one, and the versions' folders
 _POINTER, _VERSION = "_current", "version-"
+#: how long a version is kept that was replaced, for readers that have begun on it, and a folder that no pointer names
+KEPT_SECONDS, UNNAMED_SECONDS = 3600, 86400
 #: 64-bit words of the filter of a batch's keys. At most that many rows of two longs are broadcast, whatever the batch's size
 FILTER_WORDS = 1 << 19
 
@@ -163,21 +166,40 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return context.util().exists(at)
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder that holds the table now, or None if it was never replaced."""
+class StaleTable(RuntimeError):
+    """A table was replaced by someone else since it was read; read it again and repeat the step."""
+
+
+def _versions(spark: SparkSession, path: str) -> tuple[list[tuple[int, object, int]], dict[str, tuple[object, int]]]:
+    """The pointers (number, path, time in milliseconds) in order, and the version folders by name with their time."""
     context, at = _file_context(spark, path)
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(at, _POINTER)
-    if not context.util().exists(pointer):
-        return None
-    stream = context.open(pointer)
+    pointers, folders = [], {}
+    if context.util().exists(at):
+        for status in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at):
+            name, file, time = status.getPath().getName(), status.getPath(), status.getModificationTime()
+            if name.startswith(_VERSION):
+                folders[name] = file, time
+            elif name == _POINTER or name.startswith(f"{_POINTER}-"):
+                pointers.append((int(name[len(_POINTER) + 1:] or 0), file, time))
+    return sorted(pointers, key=lambda p: p[0]), folders
+
+
+def _named_by(spark: SparkSession, pointer) -> str:
+    stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).open(pointer)
     try:
-        return f"{path.rstrip('/')}/{stream.readUTF()}"
+        return stream.readUTF()
     finally:
         stream.close()
 
 
-def _point_to(spark: SparkSession, path: str, version: str) -> None:
-    """Makes the version the current one by a rename, which is whole or not at all."""
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds the table now, or None if it was never replaced."""
+    pointers, _ = _versions(spark, path)
+    return f"{path.rstrip('/')}/{_named_by(spark, pointers[-1][1])}" if pointers else None
+
+
+def _point_to(spark: SparkSession, path: str, version: str, number: int) -> None:
+    """Makes the version the current one by a rename, which is whole or not at all and fails if the number is taken."""
     jvm = spark._jvm
     context, at = _file_context(spark, path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -188,27 +210,57 @@ def _point_to(spark: SparkSession, path: str, version: str) -> None:
     finally:
         stream.close()
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(at, _POINTER), options)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context.rename(fresh, jvm.org.apache.hadoop.fs.Path(at, f"{_POINTER}-{number:012d}"), options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        fs.delete(fresh, False)
+        raise StaleTable(f"{path} was replaced while a new version of it was written") from None
+
 
+_UNSET = object()
 
-def replace_table(df: DataFrame, path: str) -> None:
+
+def replace_table(df: DataFrame, path: str, based_on=_UNSET, kept_seconds: int = KEPT_SECONDS) -> None:
     """Replace a derived table: a new version folder, complete before a pointer is switched to it.
 
-    A failed write leaves the old table as it is. The version before the current one is kept, for readers that
-    have begun on it; older ones are removed. ``df`` may read from ``path``.
+    A failed write leaves the old table as it is. ``df`` may read from ``path``; then ``based_on`` should be the ``current_version`` it
+    reads, so that nobody's replacement is lost: if the table has another version by now, or gets one while this one is written,
+    ``StaleTable`` is raised and nothing has changed. Versions replaced longer than ``kept_seconds`` ago are removed.
     """
     spark, version = df.sparkSession, f"{_VERSION}{uuid.uuid4().hex}"
-    before = current_version(spark, path)
-    df.write.parquet(f"{path.rstrip('/')}/{version}")
-    _point_to(spark, path, version)
+    pointers, _ = _versions(spark, path)
+    now = f"{path.rstrip('/')}/{_named_by(spark, pointers[-1][1])}" if pointers else None
+    if based_on is not _UNSET and based_on != now:
+        raise StaleTable(f"{path} was replaced since it was read")
+    folder = f"{path.rstrip('/')}/{version}"
+    df.write.parquet(folder)
+    try:
+        _point_to(spark, path, version, pointers[-1][0] + 1 if pointers else 1)
+    except StaleTable:
+        _, own = _file_context(spark, folder)
+        own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+        raise
+    _remove_old(spark, path, kept_seconds)
+
+
+def _remove_old(spark: SparkSession, path: str, kept_seconds: int) -> None:
+    """Removes versions that were replaced long ago, with their pointers, and folders that a failed write left a day ago."""
+    pointers, folders = _versions(spark, path)
     _, at = _file_context(spark, path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    kept = {version, (before or "").rsplit("/", 1)[-1]}
-    for status in fs.listStatus(at):
-        name = status.getPath().getName()
-        if name.startswith(_VERSION) and name not in kept:
-            fs.delete(status.getPath(), True)
+    fs, now = at.getFileSystem(spark._jsc.hadoopConfiguration()), pointers[-1][2]
+    for (_, pointer, _), (_, _, replaced) in zip(pointers, pointers[1:]):
+        folder = folders.pop(_named_by(spark, pointer), None)
+        if now - replaced >= 1000 * kept_seconds:
+            if folder:
+                fs.delete(folder[0], True)
+            fs.delete(pointer, False)
+    folders.pop(_named_by(spark, pointers[-1][1]), None)
+    for folder, written in folders.values():
+        if now - written >= 1000 * UNNAMED_SECONDS:
+            fs.delete(folder, True)
 
 
 def upsert_partitions(changed: DataFrame, path: str, schema, keys: list[str], partition: str) -> None:
@@ -240,8 +292,14 @@ def _without_keys(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFram
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Adds rows to the table's current version."""
-    df.write.mode("append").parquet(current_version(df.sparkSession, path) or path)
+    """Adds rows to the table's current version. If it was replaced meanwhile, they are added to the new one as well: a table that is
+    both appended to and replaced must bear rows twice, as a log of changes does that is folded."""
+    version = current_version(df.sparkSession, path)
+    while True:
+        df.write.mode("append").parquet(version or path)
+        before, version = version, current_version(df.sparkSession, path)
+        if version == before:
+            return
 
 
 def migrate_system_dates(legacy: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.metrics import price
 from ..operators.statistics import yearly_totals
 from ..plans.runs import store_batch, table_paths
 from ..session import materialise
-from ..sources.tables import append_facts, read_facts, read_table, replace_table, upsert_partitions
+from ..sources.tables import append_facts, current_version, read_facts, read_table, replace_table, upsert_partitions
 
 
 def dedupe_stream(facts: DataFrame, delay: str | None = None) -> DataFrame:
@@ -80,8 +80,9 @@ def stream_totals(spark: SparkSession, facts: DataFrame, root: str, checkpoint:
         stored = read_facts(spark, paths["facts"], f"{years[0]}-01-01", f"{years[-1]}-12-31").where(in_years)
         stored = stored.withColumn("business_date_year", F.year("business_date")).join(touched, ["asset_id", "business_date_year"], "left_semi")
         fresh = yearly_totals(stored.drop("business_date_year"))
+        version = current_version(spark, paths["totals"])
         kept = read_table(spark, paths["totals"], schemas.TOTALS).join(touched, ["asset_id", "business_date_year"], "left_anti")
-        replace_table(kept.select(*schemas.TOTALS.names).unionByName(fresh), paths["totals"])
+        replace_table(kept.select(*schemas.TOTALS.names).unionByName(fresh), paths["totals"], version)
 
     return _each_batch(facts, renew, checkpoint, **trigger)
 

@@ -153,6 +153,46 @@ def test_replace(spark, tmp_path):
     assert read() == [(1,), (5,)]
 
 
+def test_no_replacement_is_lost(spark, tmp_path):
+    path = str(tmp_path / "t")
+    read = lambda: rows(tables.read_table(spark, path, "id long"))
+    folders = lambda: sum(p.name.startswith("version-") for p in (tmp_path / "t").iterdir())
+    tables.replace_table(spark.range(1), path, None)
+    seen = tables.current_version(spark, path)
+    tables.replace_table(spark.range(2), path, seen)
+    for stale in (seen, None):
+        with pytest.raises(tables.StaleTable):
+            tables.replace_table(spark.range(3), path, stale)
+    with pytest.raises(tables.StaleTable):  # another writer took the next number meanwhile
+        tables._point_to(spark, path, "version-late", 2)
+    assert read() == [(0,), (1,)] and folders() == 2
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_pointer")]
+
+
+def test_versions_are_kept_for_their_readers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(1), path)
+    first = tables.read_table(spark, path, "id long")
+    for n in (2, 3, 4):
+        tables.replace_table(spark.range(n), path)
+    assert first.count() == 1 and tables.read_table(spark, path, "id long").count() == 4
+    tables.replace_table(spark.range(5), path, kept_seconds=0)
+    assert tables.read_table(spark, path, "id long").count() == 5
+    left = sorted(p.name[:8] for p in (tmp_path / "t").iterdir() if not p.name.startswith("."))
+    assert left == ["_current", "version-"]
+
+
+def test_rows_appended_while_a_table_is_replaced_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(1), path)
+    old, current = tables.current_version(spark, path), tables.current_version
+    tables.replace_table(spark.range(2), path)
+    given = iter([old])
+    monkeypatch.setattr(tables, "current_version", lambda *a: next(given, None) or current(*a))
+    tables.append_rows(spark.range(7, 8), path)
+    assert rows(tables.read_table(spark, path, "id long")) == [(0,), (1,), (7,)]
+
+
 def landed(spark, price, hour, row=0):
     return facts(spark, [("A", "S", "2024-01-30", f"2024-02-01 {hour:02d}:00:00", {"close": price}, f"{price}-{hour}")])
 
