@@ -67,8 +67,8 @@ def append_bucketed(spark: SparkSession, batch: DataFrame, name: str, path: str,
     rows = require_ingest_id(batch.select(*schemas.FACTS.names))
     stored = open_bucketed(spark, name, path, buckets)
     fresh = to_stored(new_facts(rows, possible_matches(stored.where(in_months(months_of(rows))), rows, ["ingest_id"])))
-    # dealt by the table's own hash: a task writes one bucket
-    dealt = fresh.select(*stored.columns).repartition(buckets, *BUCKET)
+    # dealt by month and the table's own hash, into as many tasks as the session takes: one task writes a bucket of a month
+    dealt = fresh.select(*stored.columns).repartition(F.pmod(F.hash(*BUCKET), F.lit(buckets)), F.col(_MONTH))
     dealt.write.mode("append").insertInto(_quoted(name))
 
 

@@ -57,6 +57,16 @@ def test_rows_are_stored_once(spark, store):
     assert held.where("asset_id = 'HOT'").select(F.input_file_name()).distinct().count() > BUCKETS
 
 
+def test_a_batch_writes_one_file_for_a_bucket_of_a_month(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "23")  # whatever the session's number of partitions
+    try:
+        bucketed.append_bucketed(spark, facts(spark, made(3, 400)), "bucketed_files", str(tmp_path / "t"), BUCKETS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    files = [(p.parent.name, re.search(r"_(\d{5})\.c", p.name).group(1)) for p in (tmp_path / "t").rglob("part-*.parquet")]
+    assert len(files) == len(set(files)) and len({m for m, _ in files}) == 4 and len(files) > 3 * BUCKETS - 1
+
+
 def test_reads_equal_those_of_a_plain_table(spark, store):
     plain, held, _ = store
     assert rows(latest_versions(held), "asset_id", "data_source_id", "business_date", "ingest_id") == rows(
