@@ -61,3 +61,12 @@ def test_decoded_hash_is_of_the_text(spark):
 def test_ranks_of_any_number_of_words():
     for ranks in (np.arange(1_200_000), np.array([0, 239, 240, 983_279, 983_280, 1_048_815, 1_048_816, 2**31 - 1, 5]), np.zeros(0, np.int64)):
         assert np.array_equal(_unpack_ranks(_pack_ranks(ranks)), ranks)
+
+
+def test_positions_are_not_moved(spark):
+    """Only words and their ids are shuffled; the blocks with the positions are read from their buckets by the tasks that place the ids."""
+    frame = encode(docs(spark, texts()))
+    moved = [line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line]
+    assert sorted(line.split("hashpartitioning(")[1].split("#")[0] for line in moved) == ["block", "shard"]
+    assert frame.count() == len(texts())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("scratch_")]
